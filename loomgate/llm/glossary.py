@@ -1,0 +1,48 @@
+"""Default glossary of the insurance column catalog: a parameter of ``canonical``."""
+
+# Short forms of single words, besides the word without its inner vowels.
+SHORT_FORMS: dict[str, list[str]] = {
+    "accounting": ["acc", "acctg"], "address": ["addr"], "aggregate": ["agg"], "amount": ["amt", "amnt"], "attachment": ["att", "attach"],
+    "average": ["avg"], "building": ["bldg", "bld"], "business": ["bus"], "code": ["cd"], "commission": ["comm"], "company": ["comp"],
+    "construction": ["constr", "cons"], "contents": ["cont", "cnts"], "contract": ["contr"], "count": ["cnt", "ct"], "country": ["ctry"],
+    "currency": ["curr"], "date": ["dt"], "deductible": ["ded", "deduct"], "distance": ["dist"], "expiry": ["exp"], "exposure": ["exp", "expo"],
+    "geography": ["geog", "geo"], "identifier": ["ident"], "inception": ["inc", "incep"], "indicator": ["ind"], "insured": ["ins", "insd"],
+    "interruption": ["interr", "intr"], "latitude": ["latit", "lat"], "limit": ["lim", "lmt"], "location": ["loc", "locn"],
+    "longitude": ["longit", "long", "lon", "lng"], "machinery": ["mach"], "name": ["nm"], "number": ["num", "no", "nbr"],
+    "occupancy": ["occ", "occup"], "occurrence": ["occ", "occur"], "parent": ["par"], "participation": ["partic"], "percent": ["pct", "perc"],
+    "period": ["per", "prd"], "policy": ["pol"], "premium": ["prem", "prm"], "probability": ["prob"], "reference": ["ref"],
+    "reinstatement": ["reinst"], "sid": ["id", "key", "surrogate"], "standard": ["std"], "deviation": ["dev"], "street": ["str"],
+    "timestamp": ["ts", "tstamp"], "total": ["tot"], "uncertainty": ["unc"], "underwriter": ["uw", "uwriter"], "value": ["val", "vlu"],
+    "version": ["ver"],
+}
+
+# Other names in use (English trade terms and German) for a catalog entry.
+OTHER_NAMES: dict[str, list[str]] = {
+    "AccountingPeriod": ["booking month"], "AdjusterFee": ["assessor cost"], "AggregateLimit": ["annual maximum"], "ApprovalState": ["sign off"],
+    "AttachmentPoint": ["layer starts at"], "AverageAnnualLoss": ["aal", "expected yearly loss"], "BasementPresent": ["has cellar", "keller vorhanden"],
+    "BindingAuthority": ["delegated underwriting power"], "BrokerReference": ["intermediary ref"], "BuildingValue": ["gebaeudewert", "structure sum insured"],
+    "BusinessInterruptionValue": ["bi value", "lost earnings sum insured"], "CancellationReason": ["storno grund", "why cancelled"],
+    "CauseOfLoss": ["schadenursache", "why damaged"], "CedantName": ["ceding insurer"], "CityName": ["municipality", "ort", "town", "ville"],
+    "ClaimsHandler": ["loss settler"], "CoastDistance": ["dist to shore", "km to sea"], "CoinsuranceShare": ["mitversicherung anteil"],
+    "CommissionRate": ["agent percentage"], "CompanyName": ["firm title", "insured firm"], "ConstructionClass": ["bauart", "building material category"],
+    "ContentsValue": ["inhaltwert", "inventory sum insured"], "CostCentre": ["kostenstelle"], "CountryCode": ["land kuerzel", "nation iso2"],
+    "CountyName": ["district", "landkreis"], "CreatedBy": ["entered by"], "CreatedTimestamp": ["entered at"], "CurrencyCode": ["ccy", "devise", "waehrung"],
+    "DeductibleAmount": ["excess amt", "own share of loss", "selbstbehalt"], "ElevationMetres": ["altitude", "height above sea", "hoehe ueber meer"],
+    "EmployeeCount": ["headcount", "mitarbeiteranzahl", "staff nr"], "ExchangeRate": ["fx", "wechselkurs"], "FireStationDistance": ["km to fire brigade"],
+    "FloodZone": ["hochwasser zone", "inundation band"], "FloorArea": ["flaeche qm", "sq metres"], "GeocodeQuality": ["coordinate precision"],
+    "GrossPremiumAmount": ["bruttopraemie", "gwp"], "HazardousStorage": ["dangerous goods kept"], "Latitude": ["breitengrad", "y coord"],
+    "LitigationFlag": ["in court"], "LocationName": ["site label"], "Longitude": ["laengengrad", "x coord"], "LossDate": ["date of damage", "schadentag"],
+    "MachineryValue": ["maschinenwert", "plant sum insured"], "ModifiedTimestamp": ["last change time"], "NetPremiumAmount": ["nettopraemie"],
+    "NotificationDate": ["meldedatum", "reported on"], "OccupancyClass": ["nutzungsart", "usage category"], "OccurrenceLimit": ["per event maximum"],
+    "OutstandingReserve": ["case reserves", "schadenreserve"], "ParticipationShare": ["our part of layer"], "PerilGroup": ["hazard family"],
+    "PolicyExpiryDate": ["cover end day", "effective to", "on risk until"], "PolicyInceptionDate": ["cover start day", "effective from", "on risk from"],
+    "PostalCode": ["plz", "postcode", "postleitzahl", "zip"], "ProducerOffice": ["producing branch"], "RenewalIndicator": ["is renewed"],
+    "ReturnPeriodYears": ["wiederkehrperiode"], "ReviewComment": ["reviewer remarks"], "RoofAge": ["yrs since reroofing"], "RoofMaterial": ["roof covering"],
+    "SalvageRecovery": ["wreckage proceeds"], "SlopeAngle": ["steepness"], "SoilClass": ["ground type"], "SprinklerFitted": ["has sprinklers"],
+    "StandardDeviation": ["sigma"], "StateProvince": ["bundesland"], "StockValue": ["goods sum insured"],
+    "StoreyCount": ["anzahl stockwerke", "levels above ground", "nr of floors"], "StreetAddress": ["addr line 1", "house no and road", "strasse hausnummer"],
+    "TaxJurisdiction": ["fiscal territory"], "TenantIdentifier": ["mandant"], "TotalInsuredValue": ["all sums insured", "gesamt versicherungssumme", "tiv"],
+    "UnderwriterInitials": ["uw"], "VacancyStatus": ["empty premises"], "VulnerabilityCurve": ["damage function"],
+    "WaitingPeriodDays": ["days before cover pays", "karenztage"], "WallCladding": ["facade finish"], "WindowProtection": ["shutters"],
+    "WordingVersion": ["policy text edition"], "YearBuilt": ["baujahr", "built in", "construction yr"],
+}
