@@ -27,11 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgate.llm.glossary import OTHER_NAMES, SHORT_FORMS
-from loomgate.runtime import salted_join, stage
+from loomgate.runtime import prefer, salted_join, stage
 
 K = 2
 #: The reference strings are broadcast only up to this many (about 20 MB).
 BROADCAST_STRINGS = 200_000
+#: Distinct values probed per task.
+PROBE_VALUES = 20_000
 
 
 def words_of(name: Column) -> Column:
@@ -85,7 +87,7 @@ def probes(values: DataFrame, k: int = K) -> DataFrame:
         n.alias("len"), i.alias("no"), F.substring(F.col("v"), cut(i, n) + shift + 1, cut(i + 1, n) - cut(i, n)).alias("seg"), (cut(i, n) + shift).alias("p"))
     every = F.flatten(F.flatten(F.transform(lens, lambda n: F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.transform(F.sequence(F.lit(-k), F.lit(k)), lambda s: one(n, i, s))))))
     spread = values.where(F.length("v") > 1).select("v", F.inline(F.filter(every, lambda x: x["p"] >= 0)))
-    return spread.where("seg <> ''").select("v", "len", "no", "seg").distinct()
+    return spread.where("seg <> ''").select("v", "len", "no", "seg")
 
 
 def swapped(a: Column, b: Column) -> Column:
@@ -108,6 +110,8 @@ def nearest(values: DataFrame, refs: DataFrame, k: int = K) -> DataFrame:
     hint = F.broadcast if small else (lambda x: x)
     exact = values.join(hint(refs.withColumnRenamed("s", "v")), "v")
     near = values.join(hint(refs.select(F.col("s").alias("v"))), "v", "left_anti")
+    # Few bytes but much work per value: spread by number of values, not by size.
+    near = near.repartition(prefer(refs.sparkSession, values.count(), PROBE_VALUES, refs.sparkSession.sparkContext.defaultParallelism), "v")
     candidates = probes(near, k).join(hint(segments(refs, k)), ["len", "no", "seg"]).select("v", "s", "id").distinct()
     scored = candidates.withColumn("d", F.levenshtein("v", "s", k)).where("d >= 0")
     scored = scored.withColumn("cost", F.when((F.col("d") == 2) & swapped(F.col("v"), F.col("s")), 1).otherwise(F.col("d")))
@@ -122,7 +126,7 @@ def map_values(cases: DataFrame, catalog: DataFrame, id_col: str, name_col: str)
     """``cases`` (with column ``value``) plus ``id`` of the entry meant, -1 for none."""
     cases = stage(cases, "canonical-cases")
     spelled = stage(cases.select("value").distinct().select("value", F.explode(typed_forms(F.col("value"))).alias("v")), "canonical-values")
-    found = nearest(spelled.select("v").distinct(), reference_strings(catalog, id_col, name_col))
+    found = nearest(stage(spelled.select("v").distinct(), "canonical-plain"), reference_strings(catalog, id_col, name_col))
     matched = stage(spelled.join(found, "v").groupBy("value").agg(F.min("best").alias("b")).select("value", "b.id"), "canonical-matched")
     unmatched = spelled.select("value").distinct().join(matched, "value", "left_anti").select("value", F.lit(-1).cast("bigint").alias("id"))
     return salted_join(cases, matched.unionByName(unmatched), "value", "inner")
