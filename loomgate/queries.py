@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomgate import family_queries
 from loomgate.operators import compact, drift, orphans, reconcile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -71,3 +72,6 @@ union all select run_id, table_key, 'only_in_reports' from b anti join a using (
 union all select run_id, table_key, 'rows' from a join b using (run_id, table_key) where a.v.r is distinct from b.r
 union all select run_id, table_key, 'checksum' from a join b using (run_id, table_key) where a.v.c is distinct from b.c""",
 }
+
+QUERIES |= family_queries.QUERIES
+ORACLES |= family_queries.ORACLES
