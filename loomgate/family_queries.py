@@ -393,7 +393,7 @@ def stats(spark):
     return spark.createDataFrame(_STATS, "table_name string, matched bigint, total_rows bigint, total_bytes bigint, columns int, parent string, direct boolean")
 
 
-@query(f"WITH {_STATS_SQL} SELECT CAST(sum(matched) AS BIGINT) AS total_rows, CAST(sum(estimated_bytes) AS BIGINT) AS estimated_bytes, CASE WHEN sum(estimated_bytes) <= 9 * 1073741824 THEN 'EXPRESS' WHEN sum(estimated_bytes) <= 80 * 1073741824 THEN 'STANDARD' ELSE 'BATCH' END AS route FROM sz")
+@query(f"WITH {_STATS_SQL} SELECT CAST(sum(matched) AS BIGINT) AS total_rows, CAST(sum(estimated_bytes) AS BIGINT) AS estimated_bytes, CASE WHEN sum(estimated_bytes) <= 9663676416 THEN 'EXPRESS' WHEN sum(estimated_bytes) <= 85899345920 THEN 'STANDARD' ELSE 'BATCH' END AS route FROM sz")
 def size_estimate(spark, d):
     return estimate.estimate(stats(spark))
 
@@ -403,7 +403,7 @@ def child_fraction_fallback(spark, d):
     return estimate.table_bytes(estimate.with_child_fraction(stats(spark)))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_totalprice * 1e6 <= 9 * 1073741824 THEN 'EXPRESS' WHEN o_totalprice * 1e6 <= 80 * 1073741824 THEN 'STANDARD' ELSE 'BATCH' END AS route FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_totalprice * 1e6 <= 9663676416 THEN 'EXPRESS' WHEN o_totalprice * 1e6 <= 85899345920 THEN 'STANDARD' ELSE 'BATCH' END AS route FROM orders")
 def route(spark, d):
     return t(spark, d, "orders").select("o_orderkey", estimate.route(F.col("o_totalprice") * 1e6).alias("route"))
 

@@ -137,7 +137,7 @@ def changes(plans: DataFrame, rows: DataFrame) -> DataFrame:
         F.filter(F.map_entries("now"), lambda e: F.col("before")[e["key"]].isNull() & ~F.array_contains(taken, e["key"])),
         lambda e: change("added", empty, e["value"]["name"], yes),
     )
-    return both.select("plan_id", F.inline(F.concat(of_old, of_new))).where("keep").drop("keep")
+    return both.select("plan_id", F.inline(F.concat(of_old, of_new))).where("keep").drop("keep").distinct()
 
 
 def consistent_table(plans: DataFrame, rows: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -189,7 +189,7 @@ def allocation_references(spark: SparkSession, d: str) -> tuple[DataFrame, DataF
 def found(spark: SparkSession, d: str) -> DataFrame:
     """Every open orphan of the project's tables."""
     ledger = replay(spark, *allocation_references(spark, d))
-    return ledger.pending.select("ref_field", "record_id", "ref_key", "orphan_kind")
+    return ledger.pending.select("ref_field", "record_id", "ref_key", "orphan_kind").distinct()
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:

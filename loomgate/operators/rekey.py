@@ -183,4 +183,4 @@ def created_mapping(entities: DataFrame, create: Callable[[list[str]], dict[str,
     if single:
         return next(iter(made.values()))
     table = entities.sparkSession.createDataFrame(list(made.items()), "name string, new_sid bigint")
-    return entities.join(F.broadcast(table), "name").select(F.col("old_sid").cast("bigint").alias("old_sid"), "new_sid")
+    return entities.join(F.broadcast(table), "name").select("name", F.col("old_sid").cast("bigint").alias("old_sid"), "new_sid")
