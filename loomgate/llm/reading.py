@@ -11,7 +11,8 @@ vocabulary. The ``HEAD`` most frequent words are broadcast; rarer ones, which
 by definition are not hot, are joined by shuffle, so every word counts.
 
 Edge cases: null or empty texts and texts without own words have a null
-grade; repeated ratings count once, null grades not at all, several raters'
+grade; a document given more than once has one row (its words count each
+time); repeated ratings count once, null grades not at all, several raters'
 median holds; words are runs of letters; a text without a sentence end is one
 sentence; too few rated documents for a fit give every document their mean
 (none: null).
@@ -82,7 +83,7 @@ def features(own: DataFrame) -> DataFrame:
     step = lambda a, e: F.struct(
         (a["seen"] + e["n"]).alias("seen"), F.when(a["at"].isNotNull(), a["at"]).when(a["seen"] + e["n"] >= F.col("total") * SHARE, -e["c"]).alias("at"))
     at = per_doc.withColumn("total", total).select("doc_id", F.aggregate("x", start, step)["at"].alias("count"))
-    return at.join(ranks, "count").join(own.select("doc_id", (F.col("n_words") / F.col("n_sentences")).alias("sentence_words")), "doc_id").select("doc_id", "rank", "sentence_words")
+    return at.join(ranks, "count").join(own.select("doc_id", (F.col("n_words") / F.col("n_sentences")).alias("sentence_words")).dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "rank", "sentence_words")
 
 
 def terms() -> list:
@@ -114,7 +115,7 @@ def grades(documents: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", tex
     weights = calibrate(feats, ratings)
     score = sum((F.lit(w) * t for w, t in zip(weights, terms())), F.lit(0.0))
     graded = feats.withColumn("grade", F.when(~F.isnan(score), F.greatest(F.lit(1.0), F.least(F.lit(5.0), score))))
-    return own.select("doc_id").join(graded, "doc_id", "left")
+    return own.select("doc_id").distinct().join(graded, "doc_id", "left")
 
 
 # ---------------------------------------------------------------- this project's tables
