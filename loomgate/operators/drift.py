@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from loomgate.functions.types import spark_type
 from loomgate.runtime import stage
 
-#: Share of a rescued field's comparable values that must equal the missing field's.
-SAME_FIELD = 0.6
+#: Share of a rescued field's comparable values that must equal the missing
+#: field's; the lower bound where both also go to the same target.
+SAME_FIELD, SAME_FIELD_AND_TARGET = 0.6, 0.3
 
 
 def headers(plans: DataFrame) -> DataFrame:
@@ -103,13 +104,15 @@ def promotions(files: DataFrame, plans: DataFrame, rows: DataFrame) -> DataFrame
     shared = missed.select("shift", "row_key").distinct()
     comparable = rescued.join(shared, ["shift", "row_key"], "left_semi").groupBy("shift", "new_field").agg(F.countDistinct("row_key").alias("compared"))
     equal = rescued.join(missed, ["shift", "row_key", "v"]).groupBy("shift", "old_field", "new_field").agg(F.countDistinct("row_key").alias("equal"))
-    by_value = equal.join(comparable, ["shift", "new_field"]).select("shift", "old_field", "new_field", (F.col("equal") / F.col("compared")).alias("ratio")).where(F.col("ratio") >= SAME_FIELD)
+    by_value = equal.join(comparable, ["shift", "new_field"]).select("shift", "old_field", "new_field", (F.col("equal") / F.col("compared")).alias("ratio")).where(F.col("ratio") >= SAME_FIELD_AND_TARGET)
+    comparable_old = missed.join(rescued.select("shift", "row_key").distinct(), ["shift", "row_key"], "left_semi").select("shift", "old_field").distinct().withColumn("old_compared", F.lit(True))
 
     usual = usual_targets(plans)
     side = lambda array, name: shifts.select("feed_key", F.col("plan_id").alias("shift"), F.explode(array).alias("field")).join(usual, ["feed_key", "field"]).select("shift", F.col("field").alias(name), F.lower(F.trim("usual")).alias("usual"))
     by_target = side("gone", "old_field").join(side("fresh", "new_field"), ["shift", "usual"]).select("shift", "old_field", "new_field", F.lit(True).alias("same_target"))
-    pairs = by_value.join(by_target, ["shift", "old_field", "new_field"], "full").join(comparable, ["shift", "new_field"], "left")
-    pairs = pairs.where("ratio is not null or coalesce(compared, 0) = 0").withColumn(
+    pairs = by_value.join(by_target, ["shift", "old_field", "new_field"], "full").join(comparable, ["shift", "new_field"], "left").join(comparable_old, ["shift", "old_field"], "left")
+    # By values; by some values and the target; by the target alone only where no values meet.
+    pairs = pairs.where(f"ratio >= {SAME_FIELD} or (ratio is not null and same_target) or (ratio is null and (compared is null or old_compared is null))").withColumn(
         "score", F.coalesce("ratio", F.lit(0.0)) + F.when(F.col("same_target"), 0.5).otherwise(0.0)
     )
     best = lambda side: F.row_number().over(W.partitionBy("shift", side).orderBy(F.desc("score"), "old_field", "new_field"))

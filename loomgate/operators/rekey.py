@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -98,37 +99,46 @@ class Rekeyer:
         self.mappings: dict[str, DataFrame] = {}
         self.results: dict[str, TableResult] = {}
 
-    def build(self, tables: dict[str, DataFrame]) -> None:
-        """First pass: a mapping for every table that owns its key."""
-        for name in self.hierarchy.order(list(tables)):
+    def build(self, tables: dict[str, DataFrame], workers: int = 8) -> None:
+        """First pass: a mapping for every table that owns its key.
+
+        Ranges are allocated in parents-first order; counting and mapping are
+        independent per table and run side by side on driver threads.
+        """
+        names = self.hierarchy.order(list(tables))
+        for name in names:
             if name not in self.hierarchy:
                 self.results[name] = TableResult(name, error="unknown table")
-                continue
-            self._map(self.hierarchy[name], tables[name])
-
-    def _map(self, t: Table, df: DataFrame) -> None:
-        key = find_column(df, t.key)
-        r = self.results[t.name] = TableResult(t.name, key=t.key)
-        if key is None:
+        known = [n for n in names if n in self.hierarchy]
+        with ThreadPoolExecutor(workers) as pool:
+            counts = dict(zip(known, pool.map(lambda n: self._rows(self.hierarchy[n], tables[n]), known)))
+            todo = [(n, self._allocate(self.hierarchy[n], counts[n])) for n in known]
+            todo = [(n, start) for n, start in todo if start is not None]
+            made = pool.map(lambda x: stage(self._mapping(self.hierarchy[x[0]], tables[x[0]], x[1]), "rekey-map"), todo)
+            self.mappings |= {self.hierarchy[n].name: m for (n, _), m in zip(todo, made)}
+
+    def _rows(self, t: Table, df: DataFrame) -> int | None:
+        return None if find_column(df, t.key) is None else df.count()
+
+    def _allocate(self, t: Table, rows: int | None) -> int | None:
+        """First id for the table's mapping; None where it gets none."""
+        r = self.results[t.name] = TableResult(t.name, rows or 0, t.key)
+        if rows is None:
             r.error = f"key column {t.key} is missing"
-            return
-        if t.name in self.mappings:  # resumed
-            return
-        if t.key_is_reference and not self.legacy:
-            r.rows = df.count()
-            return
-        r.rows = df.count()
-        if not r.rows:
-            return
+        if not rows or t.name in self.mappings or (t.key_is_reference and not self.legacy):  # empty, resumed, follows its parent
+            return None
         if t.name in self.overrides:
-            new = self.overrides[t.name]
-            m = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("old_sid")).distinct().withColumn("new_sid", F.lit(new).cast("bigint"))
-            r.first = r.last = new
+            r.first = r.last = self.overrides[t.name]
         else:
-            r.first, n = self.allocator.allocate(t.name, r.rows)
+            r.first, n = self.allocator.allocate(t.name, rows)
             r.last = r.first + n - 1
-            m = mapping(df, key, r.first)
-        self.mappings[t.name] = stage(m, "rekey-map")
+        return r.first
+
+    def _mapping(self, t: Table, df: DataFrame, start: int) -> DataFrame:
+        key = find_column(df, t.key)
+        if t.name in self.overrides:
+            return df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("old_sid")).distinct().withColumn("new_sid", F.lit(start).cast("bigint"))
+        return mapping(df, key, start)
 
     def apply(self, name: str, df: DataFrame) -> DataFrame:
         """Second pass for one table."""
