@@ -153,42 +153,43 @@ def consistent_table(plans: DataFrame, rows: DataFrame, catalog: DataFrame) -> D
     """
     files = stage(headers(plans), "drift-files")
     renamed = stage(promotions(files, plans, rows), "drift-renamed")
-    names = [(r["column_name"], r["t"]) for r in catalog.select("column_name", spark_type(F.col("sql_type")).alias("t")).where("column_name is not null").distinct().orderBy("column_name").limit(5000).collect()]
-    listed = F.broadcast(catalog.select(F.col("column_name").alias("target_name")).distinct())  # the fixed list
+    kinds = catalog.where("column_name is not null").groupBy(F.col("column_name").alias("target_name")).agg(F.min(spark_type(F.col("sql_type"))).alias("kind"))
+    names = [(r["target_name"], r["kind"] or "string") for r in kinds.orderBy("target_name").collect()]
+    listed = F.broadcast(kinds)  # the fixed list
     votes = plans.join(listed, "target_name", "left_semi").groupBy("feed_key", F.lower(F.trim("source_name")).alias("field"), "target_name").agg(F.count(F.lit(1)).alias("n"))
     # A rename carries the votes of either name over to the other.
     links = files.select("feed_key", "plan_id").join(renamed, "plan_id").select("feed_key", "old_field", "new_field").distinct()
     carried = votes.unionByName(
         votes.join(links.withColumnRenamed("old_field", "field"), ["feed_key", "field"]).select("feed_key", F.col("new_field").alias("field"), "target_name", "n")
     ).unionByName(votes.join(links.withColumnRenamed("new_field", "field"), ["feed_key", "field"]).select("feed_key", F.col("old_field").alias("field"), "target_name", "n"))
-    target = carried.groupBy("feed_key", "field", "target_name").agg(F.sum("n").alias("n")).groupBy("feed_key", "field").agg(F.max_by("target_name", F.struct("n", "target_name")).alias("target"))
-    routes = files.select("plan_id", "feed_key", F.explode(F.map_keys("now")).alias("field")).join(target, ["feed_key", "field"]).groupBy("plan_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "target"))).alias("route"))
-    read = rows.dropDuplicates(["plan_id", "row_no", "row_key", "payload"]).join(routes, "plan_id", "left").withColumn("f", as_fields(F.col("payload")))
-    routed = F.filter(F.map_entries("f"), lambda e: F.col("route")[F.lower(F.trim(e["key"]))].isNotNull())
-    placed = read.withColumn("m", F.map_from_entries(F.array_distinct(F.transform(
-        F.array_distinct(F.transform(routed, lambda e: F.col("route")[F.lower(F.trim(e["key"]))])),
-        lambda t: F.struct(t.alias("k"), F.element_at(F.transform(F.filter(routed, lambda e: F.col("route")[F.lower(F.trim(e["key"]))] == t), lambda e: e["value"]), 1).alias("v")),
-    ))))
-    kinds = F.create_map(*[x for n, t in names for x in (F.lit(n), F.lit(t))]) if names else F.expr("cast(map() as map<string,string>)")
-
-    def cast_to(value: Column, kind: str) -> Column:
-        return value if kind in ("string", "skipped", "time", "binary") else value.try_cast(kind)
-
-    typed = [cast_to(F.col("m")[n], t).alias(n) for n, t in names]
-    groups = sorted({t for _, t in names if t not in ("string", "skipped", "time", "binary")})
-
-    def uncast(k: Column, v: Column) -> Column:
+    target = carried.groupBy("feed_key", "field", "target_name").agg(F.sum("n").alias("n")).groupBy("feed_key", "field").agg(F.max_by("target_name", F.struct("n", "target_name")).alias("target_name"))
+    # One field per file and target; a second one stays in the rescue column.
+    chosen = files.select("plan_id", "feed_key", F.explode(F.map_keys("now")).alias("field")).join(target, ["feed_key", "field"]).groupBy("plan_id", "target_name").agg(F.min("field").alias("field"))
+    routes = chosen.join(listed, "target_name").groupBy("plan_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("field", F.coalesce("kind", F.lit("string"))))).alias("kind_of"),
+        F.map_from_entries(F.collect_list(F.struct("target_name", "field"))).alias("field_of"),
+    )
+    read = rows.select("plan_id", "row_no", "row_key", "payload").dropDuplicates().join(routes, "plan_id", "left").withColumn("f", as_fields(F.col("payload")))
+    read = read.select("plan_id", "row_no", "row_key", "payload", "kind_of", "field_of", "f", F.transform(F.map_keys("f"), lambda k: F.lower(F.trim(k))).alias("keys"), F.map_values("f").alias("vals"))
+    as_text = ("string", "skipped", "time", "binary")
+
+    def value_of(name: str, kind: str) -> Column:
+        at = F.array_position("keys", F.col("field_of")[name])  # the first of keys that differ in case
+        v = F.when(at > 0, F.try_element_at("vals", at.cast("int")))
+        return (v if kind in as_text else v.try_cast(kind)).alias(name)
+
+    def fails(kind: Column, v: Column) -> Column:
         out = F.lit(False)
-        for t in groups:
-            out = F.when(kinds[k] == t, v.isNotNull() & v.try_cast(t).isNull()).otherwise(out)
+        for t in sorted({t for _, t in names if t not in as_text}):
+            out = F.when(kind == t, v.isNotNull() & v.try_cast(t).isNull()).otherwise(out)
         return out
 
-    unrouted = F.map_filter("f", lambda k, v: (F.lower(F.trim(k)) != "row_key") & F.coalesce(F.col("route")[F.lower(F.trim(k))], F.lit("")).isin(""))
-    uncastable = F.map_filter("f", lambda k, v: F.coalesce(uncast(F.col("route")[F.lower(F.trim(k))], v), F.lit(False)))
-    left = F.map_concat(unrouted, uncastable)
-    rescued = F.when(F.col("f").isNull(), F.col("payload")).when(F.size(left) > 0, F.to_json(left))
-    return placed.select("plan_id", "row_no", "row_key", *typed, rescued.alias("_rescued"))
+    entry = F.transform(F.map_entries("f"), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), F.lower(F.trim(e["key"])).alias("k")))
+    routed = F.transform(entry, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), e["k"].alias("k"), F.col("kind_of")[e["k"]].alias("kind")))
+    left = F.filter(routed, lambda e: (e["k"] != "row_key") & (e["kind"].isNull() | fails(e["kind"], e["value"])))
+    kept = F.map_from_entries(F.transform(left, lambda e: F.struct(e["key"], e["value"])))
+    rescued = F.when(F.col("f").isNull(), F.col("payload")).when(F.size(left) > 0, F.to_json(kept))
+    return read.select("plan_id", "row_no", "row_key", *[value_of(n, t) for n, t in names], rescued.alias("_rescued"))
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:
