@@ -55,10 +55,26 @@ def as_fields(payload: Column) -> Column:
     return F.from_json(payload, "map<string,string>")
 
 
-def as_evidence(value: Column) -> Column:
-    """Value text in a form that survives a change of type."""
-    number = F.expr("try_cast(__v as double)")
-    return F.when(F.lower("__v").isin("true", "false"), F.when(F.lower("__v") == "true", "1.0").otherwise("0.0")).otherwise(F.coalesce(number.cast("string"), F.col("__v")))
+def as_evidence(value: Column) -> tuple[Column, Column]:
+    """(``v``, ``at``) of a value text, in a form that survives a change of type.
+
+    ``v`` is the number, the day (UTC) of a date or time stamp, or the text;
+    ``at`` the microseconds of a time stamp, null for all else. Two values are
+    equal if ``v`` is and ``at`` is, or either has no time of day. A time
+    stamp without zone is taken as UTC whatever the session's zone.
+    """
+    number = value.try_cast("double").cast("string")
+    truth = F.when(F.lower(value) == "true", "1.0").when(F.lower(value) == "false", "0.0")
+    day, moment = r"^\s*\d{4}-\d{1,2}-\d{1,2}", r"[T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?"
+    zone = r"\s*([zZ]|UTC|[+-]\d{1,2}(:?\d{2})?)"
+    stamp = F.trim(F.regexp_replace(value, r"\s+(?=[zZU+-])", ""))
+    micros = F.unix_micros(
+        F.when(value.rlike(day + r"\s*$"), F.concat(stamp, F.lit("T00:00:00Z")))
+        .when(value.rlike(day + moment + r"\s*$"), F.concat(stamp, F.lit("Z")))
+        .when(value.rlike(day + moment + zone + r"\s*$"), stamp).try_cast("timestamp")
+    )
+    on = F.concat(F.lit("day "), F.floor(micros / F.lit(86_400_000_000)).cast("string"))
+    return F.coalesce(truth, number, on, value).alias("v"), F.when(value.rlike(day + "[T ]"), micros).alias("at")
 
 
 def rescue(rows: DataFrame, files: DataFrame) -> DataFrame:
@@ -95,7 +111,7 @@ def promotions(files: DataFrame, plans: DataFrame, rows: DataFrame) -> DataFrame
         """Values of the listed fields, one row per record key and field."""
         out = source.join(keys, "plan_id").select("shift", "row_key", F.explode(as_fields(F.col("payload"))).alias("__k", "__v"), "wanted")
         out = out.where("row_key is not null and __v is not null and array_contains(wanted, lower(trim(__k)))")
-        return out.select("shift", "row_key", F.lower(F.trim("__k")).alias(field), as_evidence(F.col("__v")).alias("v")).dropDuplicates()
+        return out.select("shift", "row_key", F.lower(F.trim("__k")).alias(field), *as_evidence(F.col("__v"))).dropDuplicates()
 
     # What the enforced schema rescues from the later file, and what it misses.
     rescued = values(shifts.select(F.col("plan_id").alias("shift"), "plan_id", F.col("fresh").alias("wanted")), rows, "new_field")
@@ -103,7 +119,7 @@ def promotions(files: DataFrame, plans: DataFrame, rows: DataFrame) -> DataFrame
     rescued, missed = stage(rescued, "drift-rescued"), stage(missed, "drift-missed")
     shared = missed.select("shift", "row_key").distinct()
     comparable = rescued.join(shared, ["shift", "row_key"], "left_semi").groupBy("shift", "new_field").agg(F.countDistinct("row_key").alias("compared"))
-    equal = rescued.join(missed, ["shift", "row_key", "v"]).groupBy("shift", "old_field", "new_field").agg(F.countDistinct("row_key").alias("equal"))
+    equal = rescued.join(missed.withColumnRenamed("at", "old_at"), ["shift", "row_key", "v"]).where("at is null or old_at is null or at = old_at").groupBy("shift", "old_field", "new_field").agg(F.countDistinct("row_key").alias("equal"))
     by_value = equal.join(comparable, ["shift", "new_field"]).select("shift", "old_field", "new_field", (F.col("equal") / F.col("compared")).alias("ratio")).where(F.col("ratio") >= SAME_FIELD_AND_TARGET)
     comparable_old = missed.join(rescued.select("shift", "row_key").distinct(), ["shift", "row_key"], "left_semi").select("shift", "old_field").distinct().withColumn("old_compared", F.lit(True))
 

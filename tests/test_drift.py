@@ -40,6 +40,16 @@ def test_renamed_by_target_where_no_record_is_shared(spark):
     assert found(spark, *feed(spark, a, b)) == [(2, "added", "", "z"), (2, "renamed", "x", "q")]
 
 
+def test_renamed_with_date_and_time_retypes(spark):
+    """Dates and time stamps are equal by value, whatever type they come as; other times of one day are not."""
+    a = [("d", "A", "date", "date32"), ("t", "B", "datetime2", "timestamp[us]"), ("n", "C", "datetime2", "timestamp[us]"), ("o", "O", "datetime2", "timestamp[us]")]
+    b = [("p", "P", "datetime2", "timestamp[us]"), ("q", "B", "datetimeoffset", "timestamp[us, tz=UTC]"), ("r", "R", "date", "date32"), ("s", "S", "datetime2", "timestamp[us]")]
+    rows = [(1, i, f"r{i}", f'{{"d":"2004-07-0{i}","t":"2014-11-2{i}T03:01:05","n":"2015-01-0{i}T09:30:00","o":"2016-01-0{i}T01:00:00"}}') for i in range(1, 6)]
+    rows += [(2, i, f"r{i}", f'{{"p":"2004-07-0{i}T00:00:00","q":"2014-11-2{i} 04:01:05.000 +01:00","r":"2015-01-0{i}","s":"2016-01-0{i}T02:00:00"}}') for i in range(1, 6)]
+    got = [r for r in found(spark, *feed(spark, a, b, rows=rows)) if not r[1].endswith("_type")]
+    assert got == [(2, "added", "", "s"), (2, "removed", "o", ""), (2, "renamed", "d", "p"), (2, "renamed", "n", "r"), (2, "renamed", "t", "q")]
+
+
 def test_first_file_and_blank_names(spark):
     assert found(spark, *feed(spark, [("x", "A", None, "int32"), (None, "B", "int", "int32"), (" ", "C", "int", "int32")])) == []
 
