@@ -4,13 +4,17 @@ Wording: the smallest frequency-ranked vocabulary that covers ``SHARE`` of a
 document's words - the rank, in the corpus's own word list, of its word at
 that quantile. Sentences: words per sentence. Both are calibrated on rated
 documents by a quadratic least-squares fit, whose sums are made in SQL.
+Words are counted and ranked per language: that of the document's tag (``EN``
+and ``en-XX`` are ``en``), or, where the tag is null, ``und`` or no language,
+the tagged language whose word frequencies fit the document's words best.
 
 Scale: word counts are combined map-side. Ranks come from the distribution of
 counts (words of equal count share a rank), so no task sees the whole
 vocabulary. The ``HEAD`` most frequent words are broadcast; rarer ones, which
 by definition are not hot, are joined by shuffle, so every word counts.
 
-Edge cases: null or empty texts and texts without own words have a null
+Edge cases: untagged documents that share no word with a tagged one form a
+language of their own; null or empty texts and texts without own words have a null
 grade; a document given more than once has one row (its words count each
 time); repeated ratings count once, null grades not at all, several raters'
 median holds; words are runs of letters; a text without a sentence end is one
@@ -34,56 +38,77 @@ from loomgate.llm import mail
 from loomgate.runtime import stage
 
 SHARE, HEAD, LEAST_RATED = 0.8, 50_000, 20
+#: Tags that name no language; a word tells its language if it is at least one in so many.
+NO_LANGUAGE, TELLING = ("und", "mul", "mis", "zxx"), 10_000
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _STOP = re.compile(r"[.!?]+(?=\s|\Z)")
 
 
-def own_words(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, words, times, n_words, n_sentences) of the authors' own text."""
+def own_words(documents: DataFrame, doc_id: str, text: str, lang: str | None = None) -> DataFrame:
+    """(doc_id, lang, words, times, n_words, n_sentences) of the authors' own text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, times, n, s = [], [], [], []
-            for raw in batch.column(1).to_pylist():
+            for raw in batch.column(2).to_pylist():
                 own = mail.own_text(raw) if raw else ""
                 c = Counter(_WORD.findall(own.lower()))
                 words.append(list(c)), times.append(list(c.values()))
                 n.append(c.total()), s.append(max(1, len(_STOP.findall(own))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), pa.array(n, pa.int32()), pa.array(s, pa.int32())],
-                names=["doc_id", "words", "times", "n_words", "n_sentences"],
+                [batch.column(0), batch.column(1), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32())), pa.array(n, pa.int32()), pa.array(s, pa.int32())],
+                names=["doc_id", "lang", "words", "times", "n_words", "n_sentences"],
             )
 
-    return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, words array<string>, times array<int>, n_words int, n_sentences int"
+    tag = F.col(lang) if lang else F.lit(None)
+    return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), tag.cast("string").alias("lang"), F.col(text).alias("text")).mapInArrow(
+        run, "doc_id bigint, lang string, words array<string>, times array<int>, n_words int, n_sentences int"
     )
 
 
+def with_language(own: DataFrame) -> DataFrame:
+    """``own`` with the language in whose vocabulary a document is ranked."""
+    tag = F.lower(F.regexp_extract("lang", r"^\s*([A-Za-z]{2,3})\s*(?:[-_]|$)", 1))
+    tagged = own.withColumn("language", F.when(~tag.isin("", *NO_LANGUAGE), tag))
+    words = tagged.where("n_words > 0").select("doc_id", "language", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("n"))))
+    usual = words.where("language is not null").groupBy("language", "word").agg(F.sum("n").alias("n"))
+    total = usual.groupBy("language").agg(F.sum("n").alias("total"))
+    # The words that make up a language's running text; rarer ones weigh next to nothing.
+    usual = usual.join(F.broadcast(total), "language").where(F.col("n") >= F.col("total") / TELLING).select("language", "word", (F.col("n") / F.col("total")).alias("share"))  # one row per language
+    fits = words.where("language is null").select("doc_id", "word", "n").join(usual, "word").groupBy("doc_id", "language").agg(F.sum(F.col("n") * F.col("share")).alias("fit"))
+    likely = fits.groupBy("doc_id").agg(F.max_by("language", F.struct("fit", "language")).alias("likely"))
+    return tagged.join(likely, "doc_id", "left").withColumn("language", F.coalesce("language", "likely", F.lit("und"))).drop("likely")
+
+
 def features(own: DataFrame) -> DataFrame:
-    """(doc_id, rank, sentence_words) per document with words."""
-    pairs = own.where("n_words > 0").select("doc_id", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("n"))))
-    counts = stage(pairs.groupBy("word").agg(F.sum("n").alias("count")), "reading-counts")
+    """(doc_id, lang, rank, sentence_words) per document with words; ranks are per ``language`` if given."""
+    own = own if "language" in own.columns else own.withColumn("language", F.lit("und"))
+    pairs = own.where("n_words > 0").select("doc_id", F.coalesce("lang", F.lit("")).alias("tag"), "language", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("n"))))
+    counts = stage(pairs.groupBy("language", "word").agg(F.sum("n").alias("count")), "reading-counts")
     # Words per count, then how many words are at least so frequent: one row
-    # per distinct count, of which there are at most the root of twice the tokens.
-    ranks = counts.groupBy("count").agg(F.count(F.lit(1)).alias("words")).withColumn("rank", F.sum("words").over(W.orderBy(F.desc("count"))))
-    ranks = stage(ranks.select("count", "rank"), "reading-ranks")
-    least = ranks.where(F.col("rank") <= HEAD).agg(F.min("count")).first()[0]
+    # per language and distinct count, of which there are at most the root of twice the tokens.
+    ranks = counts.groupBy("language", "count").agg(F.count(F.lit(1)).alias("words")).withColumn("rank", F.sum("words").over(W.partitionBy("language").orderBy(F.desc("count"))))
+    ranks = stage(ranks.select("language", "count", "words", "rank"), "reading-ranks")
+    over_all = ranks.groupBy("count").agg(F.sum("words").alias("words")).withColumn("rank", F.sum("words").over(W.orderBy(F.desc("count"))))
+    least = over_all.where(F.col("rank") <= HEAD).agg(F.min("count")).first()[0]
     if least is None:  # no words at all, or more than HEAD words of the top count
         least = 1 << 62
     head = F.broadcast(counts.where(F.col("count") >= least))  # at most HEAD rows
-    known = pairs.join(head, "word", "left")
-    tail = pairs.join(head.select("word"), "word", "left_anti").join(counts.where(F.col("count") < least), "word")
-    every = known.where("count is not null").select("doc_id", "count", "n").unionByName(tail.select("doc_id", "count", "n"))
+    known = pairs.join(head, ["language", "word"], "left")
+    tail = pairs.join(head.select("language", "word"), ["language", "word"], "left_anti").join(counts.where(F.col("count") < least), ["language", "word"])
+    key = ["doc_id", "tag", "language"]
+    every = known.where("count is not null").select(*key, "count", "n").unionByName(tail.select(*key, "count", "n"))
     # Count of the word at the quantile: all of a document's words leave one
     # task already combined.
-    per_doc = every.groupBy("doc_id", "count").agg(F.sum("n").alias("n")).groupBy("doc_id").agg(F.collect_list(F.struct((-F.col("count")).alias("c"), F.col("n").cast("bigint").alias("n"))).alias("x"))
+    per_doc = every.groupBy(*key, "count").agg(F.sum("n").alias("n")).groupBy(*key).agg(F.collect_list(F.struct((-F.col("count")).alias("c"), F.col("n").cast("bigint").alias("n"))).alias("x"))
     per_doc = per_doc.withColumn("x", F.array_sort("x"))
     total = F.aggregate("x", F.lit(0).cast("bigint"), lambda a, e: a + e["n"])
     start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("at"))
     step = lambda a, e: F.struct(
         (a["seen"] + e["n"]).alias("seen"), F.when(a["at"].isNotNull(), a["at"]).when(a["seen"] + e["n"] >= F.col("total") * SHARE, -e["c"]).alias("at"))
-    at = per_doc.withColumn("total", total).select("doc_id", F.aggregate("x", start, step)["at"].alias("count"))
-    return at.join(ranks, "count").join(own.select("doc_id", (F.col("n_words") / F.col("n_sentences")).alias("sentence_words")).dropDuplicates(["doc_id"]), "doc_id").select("doc_id", "rank", "sentence_words")
+    at = per_doc.withColumn("total", total).select(*key, F.aggregate("x", start, step)["at"].alias("count"))
+    sentences = own.select("doc_id", "lang", F.coalesce("lang", F.lit("")).alias("tag"), (F.col("n_words") / F.col("n_sentences")).alias("sentence_words")).dropDuplicates(["doc_id", "tag"])
+    return at.join(ranks, ["language", "count"]).join(sentences, ["doc_id", "tag"]).select("doc_id", "lang", "rank", "sentence_words")
 
 
 def terms() -> list:
@@ -108,28 +133,34 @@ def calibrate(feats: DataFrame, ratings: DataFrame) -> list[float]:
     return [float(w) for w in np.linalg.lstsq(m + 1e-9 * row[0] * np.eye(n), np.array(row[k:], dtype=float), rcond=None)[0]]
 
 
-def grades(documents: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, grade 1…5, rank, sentence_words) per document; null grade without own words."""
-    own = stage(own_words(documents, doc_id, text), "reading-own")
+def grades(documents: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str | None = None) -> DataFrame:
+    """(doc_id, lang, grade 1…5, rank, sentence_words) per document; null grade without own words.
+
+    Without ``lang`` all documents are ranked in one vocabulary.
+    """
+    own = stage(own_words(documents, doc_id, text, lang), "reading-own")
+    own = stage(with_language(own), "reading-language") if lang else own
     feats = stage(features(own), "reading-features")
     weights = calibrate(feats, ratings)
     score = sum((F.lit(w) * t for w, t in zip(weights, terms())), F.lit(0.0))
     graded = feats.withColumn("grade", F.when(~F.isnan(score), F.greatest(F.lit(1.0), F.least(F.lit(5.0), score))))
-    return own.select("doc_id").distinct().join(graded, "doc_id", "left")
+    every = own.select("doc_id", "lang").distinct().alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & F.col("d.lang").eqNullSafe(F.col("g.lang"))
+    return every.join(graded.alias("g"), same, "left").select("d.doc_id", "d.lang", "grade", "rank", "sentence_words")
 
 
 # ---------------------------------------------------------------- this project's tables
 
 
 def graded(spark: SparkSession, d: str) -> DataFrame:
-    documents = spark.read.parquet(f"{d}/documents.parquet").where("lang = 'en'")
-    return grades(documents, spark.read.parquet(f"{d}/reading_labels.parquet"))
+    """Every document, of whatever language."""
+    return grades(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/reading_labels.parquet"), lang="lang")
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:
-    return graded(spark, d).where("grade >= 3.5").select("doc_id")
+    return graded(spark, d).where("lang = 'en' and grade >= 3.5").select("doc_id")
 
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
-    """Documents and mean sentence length per whole grade."""
-    return graded(spark, d).groupBy(F.round("grade").cast("int").alias("grade")).agg(F.count(F.lit(1)).alias("documents"), F.avg("sentence_words").alias("mean_sentence_words"))
+    """Documents and mean sentence length per language tag and whole grade; those without a grade are a row of grade null."""
+    return graded(spark, d).groupBy("lang", F.round("grade").cast("int").alias("grade")).agg(F.count(F.lit(1)).alias("documents"), F.avg("sentence_words").alias("mean_sentence_words"))

@@ -58,6 +58,26 @@ def test_changed_tables(spark, tables, small, rows):
     R.found(spark, tables.one_null_each(names)).count()
 
 
+def test_every_document_is_graded_and_profiled(spark, tables, small):
+    """Documents of all languages have a grade; the profile leaves none out."""
+    names = ["documents", "reading_labels"]
+    d = tables.changed(names, lambda df: df.unionByName(df.limit(1).select("*").withColumns({"doc_id": F.lit(-1).cast("bigint"), "text": F.lit(""), "lang": F.lit("fr")})) if "text" in df.columns else df)
+    documents = spark.read.parquet(f"{d}/documents.parquet")
+    got = R.graded(spark, d).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in documents.select("doc_id").collect())
+    assert {r.lang for r in got if r.grade is not None} == {r.lang for r in documents.select("lang").distinct().collect()}
+    profile = R.profile(spark, d).collect()
+    per_lang = {r.lang: r["count"] for r in documents.groupBy("lang").count().collect()}
+    assert {k: sum(r.documents for r in profile if r.lang == k) for k in per_lang} == per_lang
+    assert any(r.lang == "fr" and r.grade is None for r in profile)
+
+
+def test_language_of_untagged_documents(spark):
+    docs = [(1, "en", "The man saw the dog."), (2, "EN", "The dog and the man ran."), (3, "de-XX", "Der Mann sah der Hund."), (4, None, "The broker saw the plan."), (5, "und", "Der Plan und der Makler."), (6, None, "Zzz qqq.")]
+    frame = spark.createDataFrame([(i, t, "From: a\n\n" + x) for i, t, x in docs], "doc_id bigint, lang string, text string")
+    assert {r.doc_id: r.language for r in R.with_language(R.own_words(frame, "doc_id", "text", "lang")).collect()} == {1: "en", 2: "en", 3: "de", 4: "en", 5: "de", 6: "und"}
+
+
 def test_own_text_is_not_quoted_text():
     for text in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"]).column(0).to_pylist():
         own = mail.own_text(text or "")
