@@ -131,8 +131,14 @@ def promotions(files: DataFrame, plans: DataFrame, rows: DataFrame) -> DataFrame
     pairs = pairs.where(f"ratio >= {SAME_FIELD} or (ratio is not null and same_target) or (ratio is null and (compared is null or old_compared is null))").withColumn(
         "score", F.coalesce("ratio", F.lit(0.0)) + F.when(F.col("same_target"), 0.5).otherwise(0.0)
     )
-    best = lambda side: F.row_number().over(W.partitionBy("shift", side).orderBy(F.desc("score"), "old_field", "new_field"))
-    return pairs.withColumn("a", best("old_field")).withColumn("b", best("new_field")).where("a = 1 and b = 1").select(F.col("shift").alias("plan_id"), "old_field", "new_field")
+    # Best pair first, then the best of those whose fields are both still free;
+    # a shift has at most as many pairs as two files have pairs of columns.
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("cost"), "old_field", "new_field")))
+    free = lambda taken, p: ~F.exists(taken, lambda t: (t["old_field"] == p["old_field"]) | (t["new_field"] == p["new_field"]))
+    none = F.expr("cast(array() as array<struct<old_field:string,new_field:string>>)")
+    step = lambda taken, p: F.when(free(taken, p), F.concat(taken, F.array(F.struct(p["old_field"].alias("old_field"), p["new_field"].alias("new_field"))))).otherwise(taken)
+    matched = pairs.groupBy(F.col("shift").alias("plan_id")).agg(ranked.alias("ranked")).select("plan_id", F.aggregate("ranked", none, step).alias("matched"))
+    return matched.select("plan_id", F.inline("matched"))
 
 
 def changes(plans: DataFrame, rows: DataFrame) -> DataFrame:

@@ -50,6 +50,13 @@ def test_renamed_with_date_and_time_retypes(spark):
     assert got == [(2, "added", "", "s"), (2, "removed", "o", ""), (2, "renamed", "d", "p"), (2, "renamed", "n", "r"), (2, "renamed", "t", "q")]
 
 
+def test_renames_of_equal_values_are_all_matched(spark):
+    a = [("a", "A", "bit", "bool"), ("b", "B", "bit", "bool")]
+    b = [("x", "X", "bit", "bool"), ("y", "Y", "bit", "bool")]
+    rows = [(1, i, f"r{i}", '{"a":true,"b":true}') for i in range(5)] + [(2, i, f"r{i}", '{"x":true,"y":true}') for i in range(5)]
+    assert found(spark, *feed(spark, a, b, rows=rows)) == [(2, "renamed", "a", "x"), (2, "renamed", "b", "y")]
+
+
 def test_first_file_and_blank_names(spark):
     assert found(spark, *feed(spark, [("x", "A", None, "int32"), (None, "B", "int", "int32"), (" ", "C", "int", "int32")])) == []
 
