@@ -52,7 +52,7 @@ def chunked(side: DataFrame, keys: list[str], values: list[str], buckets: int) -
 def differences(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """(keys…, difference): ``only_left``, ``only_right`` or the name of a differing value."""
     left, right = stage(left.select(*keys, *values), "copy-left"), stage(right.select(*keys, *values), "copy-right")
-    buckets = prefer(left.sparkSession, max(left.count(), right.count()), BUCKET_ROWS, 8)
+    buckets = prefer(max(left.count(), right.count()), BUCKET_ROWS, 8)
     a, b = (stage(chunked(x, keys, values, buckets), "copy-chunks") for x in (left, right))
     marks = lambda x: x.select("bucket", "chunk").distinct()
     a_left = a.join(marks(b), ["bucket", "chunk"], "left_anti").select(*keys, *[F.col(v).alias(f"a_{v}") for v in values], F.lit(True).alias("in_a"))

@@ -9,19 +9,32 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_staged: list[tuple[SparkSession, str]] = []
+#: Rows of one key that one task of a join takes; a key with more is spread.
+TASK_ROWS = 250_000
+#: Largest side that is broadcast, in bytes of its values.
+BROADCAST_BYTES = 16 << 20
+
+_staged: dict[str, SparkSession] = {}
+
+
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that all executors can reach."""
 
 
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, a laptop) a temporary folder is made
-    and set as the checkpoint directory of the context.
+    Only a driver that is its own executor (``local[...]``: tests, a laptop) may
+    do without; a temporary folder is then made and set for the context.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors can reach")
     own = tempfile.mkdtemp(prefix="loomgate-")
     spark.sparkContext.setCheckpointDir(own)
     atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -33,18 +46,21 @@ def shared_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_root(spark)}/loomgate/{label}-{uuid.uuid4().hex}"
     if not _staged:
         atexit.register(sweep)
-    _staged.append((spark, path))
+    _staged[path] = spark
     return path
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def sweep() -> None:
     """Delete every staged folder of this driver; results read from them end here."""
     while _staged:
-        spark, path = _staged.pop()
+        path, spark = _staged.popitem()
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            delete(spark, path)
         except Exception:  # the session is gone; the folder is the cluster's to clean
             pass
 
@@ -58,45 +74,67 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Free staged frames whose dependents have all been staged or written."""
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path in _staged:
+            delete(_staged.pop(path), path)
+
+
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` marked for broadcast if its measured values come to at most ``limit`` bytes; and whether it was."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType)) else F.lit(8)
+                 for f in df.schema.fields), F.lit(16))
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return (F.broadcast(df), True) if size <= limit else (df, False)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: at most ``1/share`` of them.
+def hot_keys(df: DataFrame, key: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(key, salts) of keys with more rows than one task should take.
 
     The count is combined map-side, so it moves one row per key and partition.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("__all"))
-    return (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .where(F.col("__n") > F.greatest(F.lit(10_000), F.col("__all") * F.lit(share)))
-        .select(key)
-    )
+    return counts.where(F.col("__n") > task_rows).select(key, F.ceil(F.col("__n") / task_rows).cast("long").alias("__salts"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", salts: int = 24) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", task_rows: int = TASK_ROWS) -> DataFrame:
     """Equi-join on ``key`` in which the hot keys of ``left`` are spread.
 
-    ``right`` must be unique on ``key``. Rows of a hot key get a random salt
-    (a hash of the whole row, so a retried task repeats it) and the few right
-    rows of hot keys are copied once per salt; all other rows keep salt 0.
+    ``left`` is read twice: stage it if it is costly. Rows of a hot key get a
+    random salt (a hash of the whole row, so a retried task repeats it) below
+    the number of tasks its rows fill, and the right rows of hot keys are copied
+    once per salt; all other rows keep salt 0. In a left join, rows of a null
+    key are set apart and never shuffled.
     """
-    hot = F.broadcast(hot_keys(left, key).withColumn("__hot", F.lit(True)))  # at most 100 keys
-    rows = left.join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if _hashable(left, c)]), F.lit(salts))).otherwise(F.lit(0).cast("long"))
-    )
-    index = right.join(hot, key, "left").withColumn(
-        "__salt",
-        F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))),
-    )
-    return rows.drop("__hot").join(index.drop("__hot"), [key, "__salt"], how).drop("__salt")
+    spread = stage(hot_keys(left, key, task_rows), "hot-keys")
+    if spread.isEmpty():
+        joined = None
+    else:
+        hot, _ = bounded_broadcast(spread)
+        zero = F.lit(0).cast("long")
+        mix = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns if _hashable(left, c)])
+        rows = left.where(F.col(key).isNotNull()).join(hot, key, "left").withColumn("__salt", F.when(F.col("__salts").isNotNull(), F.pmod(mix, F.col("__salts"))).otherwise(zero)).drop("__salts")
+        salts = F.when(F.col("__salts").isNotNull(), F.sequence(zero, F.col("__salts") - 1)).otherwise(F.array(zero))
+        index = right.join(hot, key, "left").withColumn("__salt", F.explode(salts)).drop("__salts")
+        joined = rows.join(index, [key, "__salt"], how).drop("__salt")
+    if joined is None:
+        joined = left.where(F.col(key).isNotNull()).join(right, key, how)
+    if how != "left":
+        return joined
+    return joined.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def _hashable(df: DataFrame, name: str) -> bool:
     return "map<" not in df.schema[name].dataType.simpleString()
 
 
-def prefer(spark: SparkSession, n_rows: int, per_task: int, least: int = 1) -> int:
+def prefer(n_rows: int, per_task: int, least: int = 1) -> int:
     """Number of groups so that each holds about ``per_task`` rows."""
     return max(least, -(-n_rows // per_task))
