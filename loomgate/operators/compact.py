@@ -1,27 +1,35 @@
 """Consolidation of many tiny files into few well-sized ones.
 
-1. *Plan*: committed files are cut into pieces of bounded size and assigned,
-   longest first, to the least loaded of a fixed number of output groups
-   (a heap). Very many files are first spread over shards by hash, each with
-   its own heap, so no task and not the driver holds the whole list.
-2. *Select*: of rows that hold the same record (target table, key, fields and
+1. *Select*: of rows that hold the same record (target table, key, fields and
    values, however the JSON is written) the first by file and row is kept.
+   Only positions, digests and sizes are shuffled for it, no payload.
+2. *Plan*: what is kept is cut into pieces of bounded size per file, and the
+   pieces are assigned, longest first, to the least loaded of a fixed number
+   of output groups (a heap). Very many files are first spread over shards by
+   hash, each with its own heap, so no task and not the driver holds the list.
 3. *Write*: each group is one file, streamed through pyarrow under a
    temporary name and renamed; a group's content is fixed by the plan, so a
    repeated task writes the same file.
 4. *Publish*: the manifest (rows and content sum per group) is verified
-   against the selection and against the files read back, then a pointer to
-   it is renamed into place. Readers see the old state or the new one.
+   against the plan and against the files read back, then a pointer to it is
+   renamed into place. Readers see the old state or the new one.
+
+Two payloads are equal if their JSON is: numbers by exact value (of any length
+and exponent), strings after escapes, objects whatever the order of their
+fields; a field written twice counts twice, in order.
 
 Edge cases: a file that is not listed, or listed with any state other than
 ``committed``, is not committed; listings may repeat; stated counts and sizes
 are not trusted (real ones are taken from the rows); null payloads equal each
-other; text that is not JSON is compared as it stands; a null row key equals a
-null row key; an empty input publishes an empty manifest.
+other; text that is not JSON, or nested too deeply to be read, is compared as
+it stands; a null row key equals a null row key; rows without a number come
+after the others of their file; different records at one position are all kept;
+an empty input publishes an empty manifest.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -33,36 +41,65 @@ from decimal import Decimal
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgate.runtime import prefer, salted_join, shared_path, stage
+from loomgate.runtime import bounded_broadcast, prefer, salted_join, shared_path, stage, unstage
 
-#: Bytes of payload per output file, rows per piece of a file, files per heap.
-TARGET_BYTES, PIECE_ROWS, SHARD_FILES = 128 << 20, 1_000_000, 50_000
+#: Bytes of payload per output file, rows per piece of a file, files per heap, output files per task.
+TARGET_BYTES, PIECE_ROWS, SHARD_FILES, TASK_GROUPS = 128 << 20, 1_000_000, 50_000, 4
 OUT_SCHEMA = pa.schema([("target", pa.string()), ("file_id", pa.int64()), ("row_no", pa.int64()), ("row_key", pa.int64()), ("payload", pa.string())])
 ROWS_PER_ROW_GROUP = 100_000
 
 
-def _number(text: str) -> dict:
-    return {"#": str(Decimal(text).normalize() + 0)}  # one spelling per value; -0 is 0
+class _Number(str):
+    """A JSON number as written."""
+
+
+class _Object(list):
+    """The fields of a JSON object as (name, value), sorted by name."""
+
+
+def exact(number: str) -> str:
+    """One spelling per value of a JSON number: sign, digits without outer zeros, power of ten."""
+    mantissa, _, power = number.lower().partition("e")
+    whole, _, part = mantissa.lstrip("-").partition(".")
+    digits = (whole + part).lstrip("0")
+    if not digits:
+        return "0"
+    short = digits.rstrip("0")
+    return f"{'-' * (number[0] == '-')}{short}e{int(power or 0) - len(part) + len(digits) - len(short)}"
+
+
+def _spelled(value: object) -> str:
+    if isinstance(value, _Number):
+        return f"#{exact(value)}"  # no string starts so: those are in quotes
+    if isinstance(value, _Object):
+        return "{" + ",".join(f"{json.dumps(k)}:{_spelled(v)}" for k, v in value) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_spelled, value)) + "]"
+    return json.dumps(value)
+
+
+def _no_json(name: str) -> None:
+    raise ValueError(name)  # NaN and Infinity are not JSON
 
 
 def canonical(text: str | None) -> str | None:
-    """One spelling per JSON value: sorted fields, plain numbers, no blanks or escapes."""
+    """One spelling per JSON value; text that is none keeps its own behind a zero byte."""
     if text is None:
         return None
     try:
-        value = json.loads(text, parse_float=_number, parse_int=_number, parse_constant=lambda c: {"#": c})
-    except ValueError:
+        return _spelled(json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_no_json, object_pairs_hook=lambda x: _Object(sorted(x, key=lambda f: f[0]))))
+    except (ValueError, ArithmeticError, RecursionError):
         return "\x00" + text
-    return json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
 
 
-@F.pandas_udf(T.StringType())
-def canonical_json(payload: pd.Series) -> pd.Series:
-    return payload.map(canonical, na_action="ignore")
+@F.arrow_udf(T.BinaryType())
+def record_digest(payload: pa.Array) -> pa.Array:
+    one = lambda t: None if t is None else hashlib.blake2b(canonical(t).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return pa.array([one(t) for t in payload.to_pylist()], pa.binary())
 
 
 def assign_groups(pieces: DataFrame, target_bytes: int) -> DataFrame:
@@ -99,23 +136,44 @@ def committed_files(files: DataFrame) -> DataFrame:
     )
 
 
+def _row_mark() -> Column:
+    """Tells apart rows that share a position; equal only for full copies of a row."""
+    return F.xxhash64(F.col("row_no").isNull(), "row_no", F.col("row_key").isNull(), "row_key", F.col("payload").isNull(), "payload")
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    return rows.select("file_id", F.col("row_no").cast("bigint").alias("row_no"), F.col("row_key").cast("bigint").alias("row_key"), F.col("payload").cast("string").alias("payload"))
+
+
 def plan_and_select(files: DataFrame, rows: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """The rows to carry over, with their output group."""
-    rows = rows.select("file_id", F.col("row_no").cast("bigint").alias("row_no"), F.col("row_key").cast("bigint").alias("row_key"), "payload")
-    live = salted_join(rows, committed_files(files), "file_id", "inner").withColumn("piece", F.floor(F.coalesce("row_no", F.lit(0)) / PIECE_ROWS))
-    live = stage(live.withColumn("record", F.sha2(canonical_json("payload"), 256)), "compact-live")
-    pieces = live.groupBy("target", "file_id", "piece").agg(F.sum(F.coalesce(F.length("payload"), F.lit(0)) + 24).alias("bytes"))
-    groups = assign_groups(pieces, target_bytes)
+    """(group, target, file_id, no, mark, chars) of the rows to carry over; ``no`` is the row number, -1 for none."""
+    committed, small = bounded_broadcast(stage(committed_files(files), "compact-committed"))
+    narrow = _typed(rows).where("file_id is not null").select(
+        "file_id", F.col("row_no"), "row_key", record_digest("payload").alias("record"), _row_mark().alias("mark"), F.coalesce(F.octet_length("payload"), F.lit(0)).alias("chars"))
+    live = stage(narrow.join(committed, "file_id") if small else salted_join(narrow, committed, "file_id", "inner"), "compact-live")
     # The smallest position per record is combined map-side, so a record held
     # millions of times still moves one row per task.
-    first = live.groupBy("target", "row_key", "record").agg(F.min(F.struct("file_id", "row_no")).alias("at")).select("at.file_id", "at.row_no")
-    one = live.drop("record").join(first, ["file_id", "row_no"], "left_semi").dropDuplicates(["file_id", "row_no"])
-    return salted_join(one.withColumn("__p", F.struct("target", "file_id", "piece")), groups.select(F.struct("target", "file_id", "piece").alias("__p"), "group"), "__p", "inner").drop("__p", "piece")
+    at = F.struct("file_id", F.col("row_no").isNull().alias("unnumbered"), "row_no", "mark", "chars")
+    first = live.groupBy("target", "row_key", "record").agg(F.min(at).alias("at"))
+    kept = first.select("target", "at.file_id", F.coalesce("at.row_no", F.lit(-1)).alias("no"), "at.mark", "at.chars").withColumn("piece", F.floor(F.col("no") / PIECE_ROWS))
+    kept = stage(kept, "compact-kept")
+    pieces = kept.groupBy("target", "file_id", "piece").agg(F.sum(F.col("chars") + 24).alias("bytes"))
+    groups = stage(assign_groups(pieces, target_bytes), "compact-groups")
+    chosen = stage(kept.join(groups.select("target", "file_id", "piece", "group"), ["target", "file_id", "piece"]).drop("piece"), "compact-chosen")
+    unstage(live, kept, groups)
+    return chosen
+
 
+def with_payload(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen rows whole, each once; many files' rows spread by position, so no file is one task."""
+    every = _typed(rows).where("file_id is not null").withColumn("no", F.coalesce("row_no", F.lit(-1))).withColumn("mark", _row_mark())
+    return every.join(chosen.drop("chars"), ["file_id", "no", "mark"]).dropDuplicates(["file_id", "no", "mark"])
 
-def write_groups(selected: DataFrame, folder: str) -> DataFrame:
+
+def write_groups(selected: DataFrame, folder: str, groups: int | None = None) -> DataFrame:
     """Write one parquet file per group below ``folder``; return the manifest."""
     base = folder
+    n_groups = selected.sparkSession.sparkContext.defaultParallelism if groups is None else groups
     columns = [f.name for f in OUT_SCHEMA]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +190,7 @@ def write_groups(selected: DataFrame, folder: str) -> DataFrame:
             if store.get_file_info(final).type != fs.FileType.NotFound and store.type_name != "local":
                 store.delete_file(final)  # same content, written by a task that ran again
             store.move(tmp, final)
-            return pa.RecordBatch.from_pydict({"group": [group], "rows": [rows], "content": [check], "bytes": [store.get_file_info(final).size]})
+            return pa.RecordBatch.from_pydict({"group": [group], "rows": [rows], "content": pa.array([Decimal(check)], pa.decimal128(38, 0)), "bytes": [store.get_file_info(final).size]})
 
         for batch in batches:
             names = batch.column("group").to_pylist()
@@ -150,15 +208,14 @@ def write_groups(selected: DataFrame, folder: str) -> DataFrame:
                 part = batch.slice(start, end - start)
                 writer.write_batch(pa.RecordBatch.from_arrays([part.column(c).cast(OUT_SCHEMA.field(c).type) for c in columns], schema=OUT_SCHEMA), row_group_size=ROWS_PER_ROW_GROUP)
                 rows += part.num_rows
-                check += sum(x for x in part.column("content").to_pylist())
+                check += sum(part.column("content").to_pylist())
                 start = end
         if writer is not None:
             yield close()
 
-    marked = selected.withColumn("content", F.hash("file_id", "row_no", "row_key", "payload").cast("bigint"))
-    # One shuffle by group; the count of partitions follows the data, not the groups of one table.
-    spread = marked.repartition("group").sortWithinPartitions("group", "file_id", "row_no")
-    return spread.select("group", *columns, "content").mapInArrow(run, "group string, rows bigint, content bigint, bytes bigint")
+    # One shuffle by group, into as many partitions as there are groups to write.
+    spread = selected.withColumnRenamed("mark", "content").repartition(prefer(n_groups, TASK_GROUPS), "group").sortWithinPartitions("group", "file_id", "no", "content")
+    return spread.select("group", *columns, "content").mapInArrow(run, "group string, rows bigint, content decimal(38,0), bytes bigint")
 
 
 class CompactionError(RuntimeError):
@@ -168,20 +225,21 @@ class CompactionError(RuntimeError):
 def consolidate(files: DataFrame, rows: DataFrame, folder: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Write, verify and publish; return the published manifest."""
     spark = files.sparkSession
-    selected = stage(plan_and_select(files, rows, target_bytes), "compact-selected")
+    chosen = plan_and_select(files, rows, target_bytes)
     data = f"{folder}/data"
-    manifest = stage(write_groups(selected, data), "compact-manifest")
-    content = F.hash("file_id", "row_no", "row_key", "payload").cast("bigint")
-    expected = selected.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum(content).alias("c"))
+    mark = F.sum(F.col("mark").cast("decimal(38,0)"))
+    expected = stage(chosen.groupBy("group").agg(F.count(F.lit(1)).alias("n"), mark.alias("c")), "compact-expected")
+    manifest = stage(write_groups(with_payload(rows, chosen), data, expected.count()), "compact-manifest")
     if manifest.isEmpty():
         wrong = expected.count()
     else:
-        back = spark.read.parquet(data).withColumn("group", F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.parquet$", ""))
-        held = back.groupBy("group").agg(F.count(F.lit(1)).alias("n2"), F.sum(content).alias("c2"))
+        back = spark.read.parquet(data).withColumn("mark", _row_mark()).withColumn("group", F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.parquet$", ""))
+        held = back.groupBy("group").agg(F.count(F.lit(1)).alias("n2"), mark.alias("c2"))
         wrong = (
             manifest.join(expected, "group", "full").join(held, "group", "full")
             .where("not (rows <=> n and content <=> c and n2 <=> n and c2 <=> c)").count()
         )
+    unstage(chosen)
     if wrong:
         raise CompactionError(f"{wrong} output groups differ from what was selected")
     publish(spark, folder, manifest)
@@ -204,6 +262,11 @@ def publish(spark: SparkSession, folder: str, manifest: DataFrame) -> None:
     context.rename(store.makeQualified(tmp), store.makeQualified(final), options)
 
 
+def published(spark: SparkSession, folder: str) -> DataFrame:
+    """The consolidated rows."""
+    return spark.read.parquet(f"{folder}/data")
+
+
 # ---------------------------------------------------------------- this project's tables
 
 
@@ -219,9 +282,17 @@ def found(spark: SparkSession, d: str) -> DataFrame:
     asked = rows.select("file_id", "row_no").distinct()
     if manifest.isEmpty():
         return asked
-    return asked.join(spark.read.parquet(f"{folder}/data").select("file_id", F.col("row_no").cast("int").alias("row_no")), ["file_id", "row_no"], "left_anti")
+    held = published(spark, folder).select(F.col("file_id").alias("f"), F.col("row_no").alias("r")).distinct()
+    return asked.join(held, F.col("file_id").eqNullSafe(F.col("f")) & F.col("row_no").eqNullSafe(F.col("r")), "left_anti")
 
 
 def manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Files published per target table, with the rows and payload characters they hold."""
     files, rows = _inputs(spark, d)
-    return consolidate(files, rows, shared_path(spark, "compact"), 1 << 20).select("group", "rows", "bytes")
+    folder = shared_path(spark, "compact")
+    groups = consolidate(files, rows, folder, 1 << 20)
+    if groups.isEmpty():
+        return spark.createDataFrame([], "target string, files bigint, rows bigint, payload_bytes bigint")
+    held = published(spark, folder).select("target", F.col("_metadata.file_path").alias("file"), F.coalesce(F.octet_length("payload"), F.lit(0)).alias("b"))
+    per_file = held.groupBy("target", "file").agg(F.count(F.lit(1)).alias("rows"), F.sum("b").alias("b"))
+    return per_file.groupBy("target").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("b").alias("payload_bytes"))

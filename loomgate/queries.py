@@ -45,18 +45,24 @@ orphans as (
   from judged where not live)
 """
 
-ORACLES: dict[str, str] = {
-    "p2_found": _P2 + "select ref_field, record_id, ref_key, orphan_kind from orphans",
-    "p2_counts": _P2 + "select table_key, strftime(at_time, '%Y-%m') period, ref_field, orphan_kind, count(*) orphans from orphans group by all",
-    "p3_found": """
+_EXACT = "coalesce(cast(try_cast(payload ->> '$.{0}' as decimal(38, 12)) as varchar), payload ->> '$.{0}')"
+_P3 = f"""
 with files as (select file_id, bool_and(coalesce(commit_state = 'committed', false)) ok, min(lower(trim(target_table))) target from lake_files group by 1),
 rows as (
-  select r.file_id, r.row_no, coalesce(ok, false) ok, row_number() over (
-    partition by ok, target, row_key, payload ->> '$.label', cast(payload ->> '$.amount' as double), cast(payload ->> '$.grade' as double), payload ->> '$.as_of',
+  select r.file_id, r.row_no, r.payload, target, coalesce(ok, false) ok, row_number() over (
+    partition by ok, target, row_key, payload ->> '$.label', {_EXACT.format("amount")}, {_EXACT.format("grade")}, payload ->> '$.as_of',
       payload ->> '$.note', json_type(payload, '$.label'), json_type(payload, '$.note'), json_type(payload, '$.as_of'), list_sort(json_keys(payload))
     order by r.file_id, r.row_no) k
   from lake_rows r left join files using (file_id))
-select file_id, row_no from rows where not ok or k > 1""",
+"""
+
+ORACLES: dict[str, str] = {
+    "p2_found": _P2 + "select ref_field, record_id, ref_key, orphan_kind from orphans",
+    "p2_counts": _P2 + "select table_key, strftime(at_time, '%Y-%m') period, ref_field, orphan_kind, count(*) orphans from orphans group by all",
+    "p3_found": _P3 + "select file_id, row_no from rows where not ok or k > 1",
+    "p3_manifest": _P3 + """
+select target, cast(ceil(sum(strlen(payload) + 24) / 1048576.0) as bigint) files, count(*) "rows", sum(strlen(payload)) payload_bytes
+from rows where ok and k = 1 group by 1""",
     "p5_found": """
 with a as (
   select run_id, regexp_replace(regexp_replace(lower(trim(table_name)), '[\\[\\]]', '', 'g'), '^.*\\.', '') table_key,

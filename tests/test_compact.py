@@ -18,6 +18,28 @@ def test_canonical_forms():
     assert compact.canonical("not json").endswith("not json") and compact.canonical(None) is None
 
 
+def test_canonical_never_merges_different_numbers_or_objects():
+    c = compact.canonical
+    assert c('{"a":123456789012345678901234567890}') != c('{"a":123456789012345678901234567891}')
+    assert c('{"a":123456789012345678901234567890}') == c('{"a":12345678901234567890123456789.0e1}')
+    assert c('{"a":1}') != c('{"a":{"#":"1"}}') and c('{"a":1}') != c('{"a":"#1e0"}')
+    assert c('{"a":1e9999999999}') != c('{"a":1e9999999998}') and c('{"a":10e9999999998}') == c('{"a":1e9999999999}')
+    assert c('{"a":1,"a":2}') not in (c('{"a":2}'), c('{"a":1}'), c('{"a":2,"a":1}'))
+    assert c("[" * 100_000 + "]" * 100_000) == "\x00" + "[" * 100_000 + "]" * 100_000
+    assert c("[1e" + "9" * 5000 + "]").startswith("\x00") and c('{"a":NaN}').startswith("\x00")
+    assert c('{"a":"\\ud800"}') == c('{"a" : "\\uD800"}')
+
+
+def test_odd_rows_are_kept(spark, tmp_path):
+    """No row number, one position for two records, numbers of 30 digits, a lone surrogate."""
+    files = spark.createDataFrame([(1, "t", "committed"), (2, "t", "committed")], FILES)
+    rows = [(1, None, 1, "{}"), (1, None, 2, "{}"), (1, 1, 1, "{}"), (2, 5, 7, '{"a":1}'), (2, 5, 7, '{"a":2}'), (2, 6, 7, '{"a":123456789012345678901234567890}'),
+            (2, 7, 7, '{"a":123456789012345678901234567891}'), (2, 8, 7, '{"a":"\\ud800"}'), (2, 8, 7, '{"a":"\\ud800"}')]
+    compact.consolidate(files, spark.createDataFrame(rows, ROWS), str(tmp_path / "o"))
+    kept = sorted((r.file_id, r.row_no or 0, r.row_key, r.payload) for r in spark.read.parquet(str(tmp_path / "o/data")).collect())
+    assert kept == [(1, 0, 2, "{}"), (1, 1, 1, "{}"), *[(f, n, k, p) for f, n, k, p in rows[3:8]]]
+
+
 def lake(spark):
     files = [(1, "tA", "committed"), (1, "tA", "committed"), (2, "TA", "committed"), (3, "tB", "staged"), (4, "tB", None), (5, "tB", "committed"), (6, "tA", "committed"), (6, "tA", "aborted")]
     rows = [
@@ -49,7 +71,7 @@ def test_a_second_publication_replaces_the_pointer(spark, tmp_path):
 def test_verification_sees_a_changed_file(spark, tmp_path, monkeypatch):
     files, rows = lake(spark)
     real = compact.write_groups
-    monkeypatch.setattr(compact, "write_groups", lambda s, f: real(s.limit(2), f))
+    monkeypatch.setattr(compact, "write_groups", lambda s, f, n: real(s.limit(2), f, n))
     with pytest.raises(compact.CompactionError):
         compact.consolidate(files, rows, str(tmp_path / "o"))
     assert not (tmp_path / "o/CURRENT").exists()
