@@ -1,18 +1,25 @@
 """Rescue-column ingestion of files whose schema drifts.
 
-Each file of a feed is read against the schema of the file before it: fields
-that schema knows are kept, all others (and values that will not cast) go into
-a rescue column as JSON. Rescued fields are then *promoted*: one that carries,
-for the same record keys, the values of a field that went missing is that
-field renamed; the rest are additions. Promoted values are replayed from the
-rescue column into the typed columns of one consistent table.
+1. *Ingest*: each row of a file is read against the schema of the file before it
+   in its feed. Fields that schema knows and whose values cast to its types are
+   kept; unknown and uncastable fields are preserved as JSON in ``_rescued``.
+2. *Promote*: a rescued field that carries, for the same record keys, the values
+   of a field that went missing is that field renamed; the other fields of the
+   file's header are additions. Both are approved; what no header names is not.
+3. *Replay*: approved fields are taken out of the rescue column and cast into
+   the typed columns of one consistent table; what still has no column or will
+   not cast stays in ``_rescued``.
+
+The list of changes comes from the headers and the promotions.
 
 Edge cases: names are compared without case; columns without a name are
 ignored; of two columns of one file that differ in case only the first
 (by ordinal) holds; an unknown (null) type is no evidence of a change; rows
-without a key give no evidence of a rename; rows that are not JSON objects are
-kept whole in the rescue column; the first file of a feed has no changes;
-empty inputs give empty outputs. Extra columns of the inputs are ignored.
+without a key give no evidence of a rename; of a field written twice in one
+object the first is the field, the others stay in the rescue column; rows that
+are not JSON objects are rescued whole; rows of a file without a header are
+rescued; the first file of a feed is read against its own header and has no
+changes; empty inputs give empty outputs. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,26 +29,35 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomgate.functions.types import spark_type
-from loomgate.runtime import stage
+from loomgate.runtime import bounded_broadcast, salted_join, stage
 
 #: Share of a rescued field's comparable values that must equal the missing
 #: field's; the lower bound where both also go to the same target.
 SAME_FIELD, SAME_FIELD_AND_TARGET = 0.6, 0.3
+_TEXTS = "cast(array() as array<string>)"
 
 
 def headers(plans: DataFrame) -> DataFrame:
     """One row per file: its columns, and the columns of the file before it in the feed."""
-    cols = (
-        plans.where("plan_id is not null and source_name is not null and trim(source_name) <> ''")
-        .groupBy("feed_key", "file_seq", "plan_id", F.lower(F.trim("source_name")).alias("field"))
-        .agg(F.min(F.struct(
-            F.coalesce("ordinal", F.lit(2147483647)).alias("ordinal"), F.col("source_name").alias("name"), F.col("target_name").alias("target"),
-            spark_type(F.col("source_type")).alias("source_type"), spark_type(F.col("target_type")).alias("target_type"),
-        )).alias("c"))
-    )
-    files = cols.groupBy("feed_key", "file_seq", "plan_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "c"))).alias("now"))
+    declared = plans.select(F.explode(F.array("source_type", "target_type")).alias("declared")).where("declared is not null").distinct()
+    kinds, _ = bounded_broadcast(stage(declared.select("declared", spark_type(F.col("declared")).alias("kind")), "drift-types"))
+    named = plans.where("plan_id is not null and source_name is not null and trim(source_name) <> ''").select(
+        "feed_key", "file_seq", "plan_id", F.lower(F.trim("source_name")).alias("field"), F.coalesce("ordinal", F.lit(2147483647)).alias("ordinal"),
+        F.col("source_name").alias("name"), F.col("target_name").alias("target"), "source_type", "target_type")
+    for side in ("source_type", "target_type"):
+        named = named.join(kinds.select(F.col("declared").alias(side), F.col("kind").alias(f"{side}_kind")), side, "left")
+    cols = named.groupBy("feed_key", "file_seq", "plan_id", "field").agg(
+        F.min(F.struct("ordinal", "name", "target", F.col("source_type_kind").alias("source_type"), F.col("target_type_kind").alias("target_type"))).alias("c"))
+    files = stage(cols.groupBy("feed_key", "file_seq", "plan_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "c"))).alias("now")), "drift-headers")
+    # Only keys go through the window over a feed; the columns are joined to them.
     order = W.partitionBy("feed_key").orderBy("file_seq", "plan_id")
-    return files.withColumn("before", F.lag("now").over(order)).withColumn("before_plan", F.lag("plan_id").over(order))
+    at = F.struct("file_seq", "plan_id")
+    chain = files.select("feed_key", "file_seq", "plan_id").withColumn("before_at", F.lag(at).over(order)).withColumn("next_plan", F.lead("plan_id").over(order))
+    before = files.select(F.col("feed_key").alias("f"), at.alias("b"), F.col("now").alias("before"))
+    same = F.col("feed_key").eqNullSafe(F.col("f")) & (F.col("before_at") == F.col("b"))
+    linked = chain.join(before, same, "left").drop("f", "b").withColumn("before_plan", F.col("before_at.plan_id")).drop("before_at")
+    mine = files.select(F.col("feed_key").alias("f"), at.alias("b"), "now")
+    return linked.join(mine, F.col("feed_key").eqNullSafe(F.col("f")) & (F.struct("file_seq", "plan_id") == F.col("b"))).drop("f", "b")
 
 
 def usual_targets(plans: DataFrame) -> DataFrame:
@@ -51,8 +67,14 @@ def usual_targets(plans: DataFrame) -> DataFrame:
 
 
 def as_fields(payload: Column) -> Column:
-    """JSON object text → map of field → value text; null for anything else."""
-    return F.from_json(payload, "map<string,string>")
+    """JSON object text → (k, key, value) per field as written, ``k`` without case; null for anything else."""
+    return F.transform(F.map_entries(F.from_json(payload, "map<string,string>")), lambda e: F.struct(F.lower(F.trim(e["key"])).alias("k"), e["key"].alias("key"), e["value"].alias("value")))
+
+
+def as_json(fields: Column) -> Column:
+    """(k, key, value) fields → JSON object text; null for none. Repeated fields stay repeated."""
+    one = F.transform(fields, lambda e: F.regexp_replace(F.to_json(F.create_map(e["key"], e["value"])), r"^\{|\}$", ""))
+    return F.when(F.size(fields) > 0, F.concat(F.lit("{"), F.array_join(one, ","), F.lit("}")))
 
 
 def as_evidence(value: Column) -> tuple[Column, Column]:
@@ -77,46 +99,74 @@ def as_evidence(value: Column) -> tuple[Column, Column]:
     return F.coalesce(truth, number, on, value).alias("v"), F.when(value.rlike(day + "[T ]"), micros).alias("at")
 
 
+def casts(value: Column, kind: Column) -> Column:
+    """Whether a value text fits the family of an enforced type; null fits all."""
+    number = kind.rlike("^(smallint|int|bigint|float|double|decimal.*)$")
+    fits = F.when(number, value.try_cast("double").isNotNull()).when(kind == "boolean", value.try_cast("boolean").isNotNull())
+    return value.isNull() | F.coalesce(fits.when(kind.isin("date", "timestamp", "timestamp_ntz"), value.try_cast("timestamp").isNotNull()), F.lit(True))
+
+
+def schemas(files: DataFrame) -> DataFrame:
+    """Per file: the enforced schema, the fields it lacks, and those that go missing in the next file."""
+    key = lambda m: F.map_keys(m)
+    own = files.select(
+        "plan_id", "next_plan",
+        F.transform_values(F.coalesce("before", "now"), lambda k, v: v["target_type"]).alias("enforced"),
+        F.when(F.col("before").isNotNull(), F.array_except(key("now"), key("before"))).alias("fresh"),
+        F.when(F.col("before").isNotNull(), F.array_except(key("before"), key("now"))).alias("gone"))
+    later = own.where("size(gone) > 0 and size(fresh) > 0").select(F.col("plan_id").alias("next_plan"), F.col("gone").alias("gone_next"))
+    # A plan listed in several feeds or places keeps one schema: a row is ingested once.
+    return own.join(later, "next_plan", "left").groupBy("plan_id").agg(
+        F.max_by(F.struct("enforced", F.when((F.size("gone") > 0), F.col("fresh")).alias("fresh"), "next_plan", "gone_next"), F.coalesce("next_plan", F.lit(-1))).alias("s")).select("plan_id", "s.*")
+
+
 def rescue(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Read each row against the schema before its file.
+    """Rows read against their enforced schema: ``kept`` fields, and ``_rescued`` JSON of all others.
 
-    ``kept`` holds known fields, ``rescued`` the JSON of all others,
-    ``broken`` rows that are no JSON object (rescued whole).
+    A row is its plan, number, key and payload; repeated rows count once. The
+    schemas are broadcast while small; beyond that a huge file's rows are salted.
     """
-    known = files.select("plan_id", F.map_keys(F.coalesce("before", "now")).alias("known"))
-    read = rows.join(known, "plan_id", "left").withColumn("__f", as_fields(F.col("payload")))
-    is_known = lambda k, v: F.array_contains(F.coalesce("known", F.array().cast("array<string>")), F.lower(F.trim(k)))
+    distinct = rows.select("plan_id", "row_no", "row_key", "payload").dropDuplicates()
+    known, small = bounded_broadcast(stage(schemas(files), "drift-schemas"))
+    read = distinct.join(known, "plan_id", "left") if small else salted_join(stage(distinct, "drift-rows"), known, "plan_id")
+    read = read.withColumn("f", F.filter(as_fields(F.col("payload")), lambda e: ~((e["k"] == "row_key") & e["value"].eqNullSafe(F.col("row_key")))))
+    read = read.withColumn("at", F.transform("f", lambda e: e["k"]))
+    good = lambda e, i: F.map_contains_key("enforced", e["k"]) & casts(e["value"], F.col("enforced")[e["k"]]) & (F.array_position("at", e["k"]) == i + 1)
+    has = F.col("enforced").isNotNull()
     return read.select(
-        "plan_id", "row_no", "row_key",
-        F.map_filter("__f", is_known).alias("kept"),
-        F.when(F.col("__f").isNull(), F.col("payload")).otherwise(F.to_json(F.map_filter("__f", lambda k, v: ~is_known(k, v)))).alias("rescued"),
-        F.col("__f").isNull().alias("broken"),
+        "plan_id", "row_no", "row_key", "next_plan", "fresh", "gone_next", F.col("f").isNull().alias("broken"),
+        F.when(has, F.filter("f", lambda e, i: good(e, i))).otherwise(F.when(F.col("f").isNotNull(), F.filter("f", lambda e: F.lit(False)))).alias("kept"),
+        F.when(F.col("f").isNull(), F.col("payload")).otherwise(as_json(F.when(has, F.filter("f", lambda e, i: ~good(e, i))).otherwise(F.col("f")))).alias("_rescued"),
     )
 
 
-def promotions(files: DataFrame, plans: DataFrame, rows: DataFrame) -> DataFrame:
+def all_fields() -> Column:
+    """Kept fields and those in the rescue column, of an ingested row."""
+    return F.when(~F.col("broken"), F.concat("kept", F.coalesce(as_fields(F.col("_rescued")), F.filter("kept", lambda e: F.lit(False)))))
+
+
+def promotions(files: DataFrame, plans: DataFrame, ingested: DataFrame) -> DataFrame:
     """(plan_id, old_field, new_field): rescued fields that are a missing field renamed.
 
     Evidence is equality of values for the same record key in the two files;
     only where no record can be compared does the usual target name decide.
     """
     shifts = files.where("before is not null").select(
-        "feed_key", "plan_id", "before_plan",
+        "feed_key", "plan_id",
         F.array_except(F.map_keys("before"), F.map_keys("now")).alias("gone"),
         F.array_except(F.map_keys("now"), F.map_keys("before")).alias("fresh"),
     ).where("size(gone) > 0 and size(fresh) > 0")
     shifts = stage(shifts, "drift-shifts")
 
-    def values(keys: DataFrame, source: DataFrame, field: str) -> DataFrame:
-        """Values of the listed fields, one row per record key and field."""
-        out = source.join(keys, "plan_id").select("shift", "row_key", F.explode(as_fields(F.col("payload"))).alias("__k", "__v"), "wanted")
-        out = out.where("row_key is not null and __v is not null and array_contains(wanted, lower(trim(__k)))")
-        return out.select("shift", "row_key", F.lower(F.trim("__k")).alias(field), *as_evidence(F.col("__v"))).dropDuplicates()
+    def values(fields: Column, wanted: str, shift: str, name: str) -> DataFrame:
+        """Values of the wanted fields, one row per record key and field."""
+        of = F.filter(fields, lambda e: e["value"].isNotNull() & F.array_contains(F.col(wanted), e["k"]))
+        out = ingested.where(F.col("row_key").isNotNull() & (F.size(wanted) > 0)).select(F.col(shift).alias("shift"), "row_key", F.inline(of))
+        return stage(out.select("shift", "row_key", F.col("k").alias(name), *as_evidence(F.col("value"))).dropDuplicates(), f"drift-{name}")
 
-    # What the enforced schema rescues from the later file, and what it misses.
-    rescued = values(shifts.select(F.col("plan_id").alias("shift"), "plan_id", F.col("fresh").alias("wanted")), rows, "new_field")
-    missed = values(shifts.select(F.col("plan_id").alias("shift"), F.col("before_plan").alias("plan_id"), F.col("gone").alias("wanted")), rows, "old_field")
-    rescued, missed = stage(rescued, "drift-rescued"), stage(missed, "drift-missed")
+    # What the enforced schema rescued from the later file, and what it misses.
+    rescued = values(as_fields(F.col("_rescued")), "fresh", "plan_id", "new_field")
+    missed = values(all_fields(), "gone_next", "next_plan", "old_field")
     shared = missed.select("shift", "row_key").distinct()
     comparable = rescued.join(shared, ["shift", "row_key"], "left_semi").groupBy("shift", "new_field").agg(F.countDistinct("row_key").alias("compared"))
     equal = rescued.join(missed.withColumnRenamed("at", "old_at"), ["shift", "row_key", "v"]).where("at is null or old_at is null or at = old_at").groupBy("shift", "old_field", "new_field").agg(F.countDistinct("row_key").alias("equal"))
@@ -141,10 +191,16 @@ def promotions(files: DataFrame, plans: DataFrame, rows: DataFrame) -> DataFrame
     return matched.select("plan_id", F.inline("matched"))
 
 
+def ingest(plans: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(files, ingested rows, promotions), each written to the shared folder."""
+    files = stage(headers(plans), "drift-files")
+    ingested = stage(rescue(rows, files), "drift-ingested")
+    return files, ingested, stage(promotions(files, plans, ingested), "drift-renamed")
+
+
 def changes(plans: DataFrame, rows: DataFrame) -> DataFrame:
     """Each change with the file in which it first shows."""
-    files = stage(headers(plans), "drift-files")
-    renamed = stage(promotions(files, plans, rows), "drift-renamed")
+    files, _, renamed = ingest(plans, rows)
     pairs = renamed.groupBy("plan_id").agg(F.map_from_entries(F.collect_list(F.struct("old_field", "new_field"))).alias("moved"))
     both = files.where("before is not null").join(pairs, "plan_id", "left").withColumn("moved", F.coalesce("moved", F.expr("cast(map() as map<string,string>)")))
     change = lambda kind, old, new, keep: F.struct(F.lit(kind).alias("change_kind"), old.alias("old_name"), new.alias("new_name"), keep.alias("keep"))
@@ -165,34 +221,34 @@ def changes(plans: DataFrame, rows: DataFrame) -> DataFrame:
     return both.select("plan_id", F.inline(F.concat(of_old, of_new))).where("keep").drop("keep").distinct()
 
 
-def consistent_table(plans: DataFrame, rows: DataFrame, catalog: DataFrame) -> DataFrame:
-    """All file rows in the catalog's typed columns, with a rescue column.
+def routes(plans: DataFrame, files: DataFrame, renamed: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Per file, the approved fields: ``kind_of`` (field → type) and ``field_of`` (column → field).
 
-    A field's target is the catalog name most often given to it, over its
-    renames, within its feed. Values whose field has no target, or which do
-    not cast to the column's type, stay in ``_rescued`` as JSON. The catalog is
-    a fixed list; its names become the columns, so it is read on the driver.
+    A field's column is the catalog name most often given to it, over its
+    renames, within its feed.
     """
-    files = stage(headers(plans), "drift-files")
-    renamed = stage(promotions(files, plans, rows), "drift-renamed")
-    kinds = catalog.where("column_name is not null").groupBy(F.col("column_name").alias("target_name")).agg(F.min(spark_type(F.col("sql_type"))).alias("kind"))
-    names = [(r["target_name"], r["kind"] or "string") for r in kinds.orderBy("target_name").collect()]
-    listed = F.broadcast(kinds)  # the fixed list
+    listed, _ = bounded_broadcast(kinds)
     votes = plans.join(listed, "target_name", "left_semi").groupBy("feed_key", F.lower(F.trim("source_name")).alias("field"), "target_name").agg(F.count(F.lit(1)).alias("n"))
     # A rename carries the votes of either name over to the other.
     links = files.select("feed_key", "plan_id").join(renamed, "plan_id").select("feed_key", "old_field", "new_field").distinct()
-    carried = votes.unionByName(
-        votes.join(links.withColumnRenamed("old_field", "field"), ["feed_key", "field"]).select("feed_key", F.col("new_field").alias("field"), "target_name", "n")
-    ).unionByName(votes.join(links.withColumnRenamed("new_field", "field"), ["feed_key", "field"]).select("feed_key", F.col("old_field").alias("field"), "target_name", "n"))
+    over = lambda a, b: votes.join(links.withColumnRenamed(a, "field"), ["feed_key", "field"]).select("feed_key", F.col(b).alias("field"), "target_name", "n")
+    carried = votes.unionByName(over("old_field", "new_field")).unionByName(over("new_field", "old_field"))
     target = carried.groupBy("feed_key", "field", "target_name").agg(F.sum("n").alias("n")).groupBy("feed_key", "field").agg(F.max_by("target_name", F.struct("n", "target_name")).alias("target_name"))
-    # One field per file and target; a second one stays in the rescue column.
+    # One field per file and column; a second one stays in the rescue column.
     chosen = files.select("plan_id", "feed_key", F.explode(F.map_keys("now")).alias("field")).join(target, ["feed_key", "field"]).groupBy("plan_id", "target_name").agg(F.min("field").alias("field"))
-    routes = chosen.join(listed, "target_name").groupBy("plan_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("field", F.coalesce("kind", F.lit("string"))))).alias("kind_of"),
-        F.map_from_entries(F.collect_list(F.struct("target_name", "field"))).alias("field_of"),
+    one = chosen.join(listed, "target_name").groupBy("plan_id", "field").agg(F.min(F.struct("target_name", "kind")).alias("x"))  # a plan in two feeds
+    return one.groupBy("plan_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("field", F.coalesce("x.kind", F.lit("string"))))).alias("kind_of"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("x.target_name"), "field"))).alias("field_of"),
     )
-    read = rows.select("plan_id", "row_no", "row_key", "payload").dropDuplicates().join(routes, "plan_id", "left").withColumn("f", as_fields(F.col("payload")))
-    read = read.select("plan_id", "row_no", "row_key", "payload", "kind_of", "field_of", "f", F.transform(F.map_keys("f"), lambda k: F.lower(F.trim(k))).alias("keys"), F.map_values("f").alias("vals"))
+
+
+def replay(ingested: DataFrame, routed: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    """Approved fields, kept or rescued, in typed columns; the rest in ``_rescued``."""
+    where, small = bounded_broadcast(routed)
+    rows = ingested.select("plan_id", "row_no", "row_key", "broken", "_rescued", all_fields().alias("f"))
+    read = rows.join(where, "plan_id", "left") if small else salted_join(stage(rows, "drift-all"), where, "plan_id")
+    read = read.withColumn("keys", F.transform("f", lambda e: e["k"])).withColumn("vals", F.transform("f", lambda e: e["value"]))
     as_text = ("string", "skipped", "time", "binary")
 
     def value_of(name: str, kind: str) -> Column:
@@ -206,12 +262,21 @@ def consistent_table(plans: DataFrame, rows: DataFrame, catalog: DataFrame) -> D
             out = F.when(kind == t, v.isNotNull() & v.try_cast(t).isNull()).otherwise(out)
         return out
 
-    entry = F.transform(F.map_entries("f"), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), F.lower(F.trim(e["key"])).alias("k")))
-    routed = F.transform(entry, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), e["k"].alias("k"), F.col("kind_of")[e["k"]].alias("kind")))
-    left = F.filter(routed, lambda e: (e["k"] != "row_key") & (e["kind"].isNull() | fails(e["kind"], e["value"])))
-    kept = F.map_from_entries(F.transform(left, lambda e: F.struct(e["key"], e["value"])))
-    rescued = F.when(F.col("f").isNull(), F.col("payload")).when(F.size(left) > 0, F.to_json(kept))
-    return read.select("plan_id", "row_no", "row_key", *[value_of(n, t) for n, t in names], rescued.alias("_rescued"))
+    placed = lambda e, i: F.coalesce(F.map_contains_key("kind_of", e["k"]), F.lit(False)) & (F.array_position("keys", e["k"]) == i + 1) & ~fails(F.col("kind_of")[e["k"]], e["value"])
+    left = F.when(F.col("broken"), F.col("_rescued")).otherwise(as_json(F.filter("f", lambda e, i: ~placed(e, i))))
+    return read.select("plan_id", "row_no", "row_key", *[value_of(n, t) for n, t in names], left.alias("_rescued"))
+
+
+def consistent_table(plans: DataFrame, rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """All file rows in the catalog's typed columns, with a rescue column.
+
+    The catalog's names become the columns, so it is read on the driver: a
+    table of so many columns is bounded by what a plan can hold.
+    """
+    files, ingested, renamed = ingest(plans, rows)
+    kinds = stage(catalog.where("column_name is not null").groupBy(F.col("column_name").alias("target_name")).agg(F.min(spark_type(F.col("sql_type"))).alias("kind")), "drift-kinds")
+    names = [(r["target_name"], r["kind"] or "string") for r in kinds.orderBy("target_name").collect()]
+    return replay(ingested, stage(routes(plans, files, renamed, kinds), "drift-routes"), names)
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from loomgate.functions.types import spark_type
@@ -81,9 +83,52 @@ def test_rescue_and_replay(spark):
     rows = [(1, 1, "a", '{"row_key":"a","Amount":1.5}'), (1, 2, "b", '{"row_key":"b","Amount":"x"}'), (2, 1, "a", '{"row_key":"a","Betrag":1.5,"Extra":9}'), (2, 2, "c", "broken"), (2, 3, "d", None)]
     plans, frame = feed(spark, a, b, rows=rows)
     files = drift.headers(plans)
-    rescued = {(r.plan_id, r.row_no): r.rescued for r in drift.rescue(frame, files).collect()}
-    assert "Betrag" in rescued[(2, 1)] and rescued[(2, 2)] == "broken"
+    read = {(r.plan_id, r.row_no): r for r in drift.rescue(frame, files).collect()}
+    assert json.loads(read[(2, 1)]._rescued) == {"Betrag": "1.5", "Extra": "9"} and read[(2, 2)]._rescued == "broken"
+    assert [e.key for e in read[(1, 1)].kept] == ["Amount"] and read[(1, 2)]._rescued == '{"Amount":"x"}'
     catalog = spark.createDataFrame([(1, "PaidLoss", "DECIMAL(18,2)")], "catalog_id bigint, column_name string, sql_type string")
     got = {(r.plan_id, r.row_no): (None if r.PaidLoss is None else float(r.PaidLoss), r._rescued) for r in drift.consistent_table(plans, frame, catalog).collect()}
     assert got[(1, 1)] == (1.5, None) and got[(1, 2)] == (None, '{"Amount":"x"}')
     assert got[(2, 1)] == (1.5, '{"Extra":"9"}') and got[(2, 2)] == (None, "broken") and got[(2, 3)] == (None, None)
+
+
+def test_a_field_written_twice_and_one_that_no_longer_casts(spark):
+    a = [("Amount", "PaidLoss", "int", "int32"), ("zz", "LossDate", "date", "date32")]
+    rows = [(1, 1, "a", '{"zz":"2024-01-02","zz":"2024-01-03","Amount":7}'), (1, 2, "b", '{"AMOUNT":1,"amount":2,"zz":null}'), (1, 3, "c", '{"Amount":"many","q":{"x":[1,"\\"}"]}}'), (7, 1, "d", '{"Amount":1}')]
+    plans, frame = feed(spark, a, rows=rows)
+    catalog = spark.createDataFrame([(1, "PaidLoss", "DECIMAL(18,2)"), (2, "LossDate", "DATE")], "catalog_id bigint, column_name string, sql_type string")
+    got = {(r.plan_id, r.row_no): (str(r.LossDate), None if r.PaidLoss is None else float(r.PaidLoss), r._rescued) for r in drift.consistent_table(plans, frame, catalog).collect()}
+    assert got[(1, 1)] == ("2024-01-02", 7.0, '{"zz":"2024-01-03"}')
+    assert got[(1, 2)] == ("None", 1.0, '{"amount":"2"}')
+    assert got[(1, 3)][:2] == ("None", None) and json.loads(got[(1, 3)][2]) == {"Amount": "many", "q": '{"x":[1,"\\"}"]}'}
+    assert got[(7, 1)] == ("None", None, '{"Amount":"1"}')
+
+
+def test_no_value_is_lost_or_doubled(spark, small):
+    """Brute force over the whole small tables: each field of each row is in one typed column or in the rescue column."""
+    rows = spark.read.parquet(f"{small}/file_rows.parquet")
+    out = drift.table(spark, small).collect()
+    want = {(r.plan_id, r.row_no, r.row_key, r.payload) for r in rows.collect()}
+    assert len(out) == len(want)
+    held = {}
+    for r in out:
+        d = r.asDict()
+        rest = d.pop("_rescued")
+        try:
+            extra = json.loads(rest) if rest else {}
+        except ValueError:
+            extra = {}
+        n = sum(d[c] is not None for c in d if c not in ("plan_id", "row_no", "row_key")) + sum(v is not None for v in extra.values())
+        held.setdefault((r.plan_id, r.row_no, r.row_key), []).append(n)
+    for plan, no, key, payload in want:
+        try:
+            fields = json.loads(payload) if payload else {}
+        except ValueError:
+            continue
+        assert sum(v is not None for k, v in fields.items() if k.lower() != "row_key") in held[(plan, no, key)]
+
+
+def test_large_schemas_are_joined_by_shuffle(spark, small, monkeypatch, rows):
+    want = rows(drift.found(spark, small))
+    monkeypatch.setattr(drift, "bounded_broadcast", lambda df: (df, False))
+    assert rows(drift.found(spark, small)) == want
