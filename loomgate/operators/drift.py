@@ -73,8 +73,16 @@ def as_fields(payload: Column) -> Column:
 
 def as_json(fields: Column) -> Column:
     """(k, key, value) fields → JSON object text; null for none. Repeated fields stay repeated."""
+    pair = lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))
     one = F.transform(fields, lambda e: F.regexp_replace(F.to_json(F.create_map(e["key"], e["value"])), r"^\{|\}$", ""))
-    return F.when(F.size(fields) > 0, F.concat(F.lit("{"), F.array_join(one, ","), F.lit("}")))
+    names = F.transform(fields, lambda e: e["key"])
+    text = F.when(F.size(F.array_distinct(names)) == F.size(names), F.to_json(F.map_from_entries(F.transform(fields, pair)))).otherwise(F.concat(F.lit("{"), F.array_join(one, ","), F.lit("}")))
+    return F.when(F.size(fields) > 0, text)
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def as_evidence(value: Column) -> tuple[Column, Column]:
@@ -99,11 +107,15 @@ def as_evidence(value: Column) -> tuple[Column, Column]:
     return F.coalesce(truth, number, on, value).alias("v"), F.when(value.rlike(day + "[T ]"), micros).alias("at")
 
 
-def casts(value: Column, kind: Column) -> Column:
+def family(kind: Column) -> Column:
+    """What the values of a type must look like: a number, a truth value, a time or any text."""
+    return F.when(kind.rlike("^(smallint|int|bigint|float|double|decimal.*)$"), "number").when(kind == "boolean", "truth").when(kind.isin("date", "timestamp", "timestamp_ntz"), "time").otherwise("text")
+
+
+def casts(value: Column, of: Column) -> Column:
     """Whether a value text fits the family of an enforced type; null fits all."""
-    number = kind.rlike("^(smallint|int|bigint|float|double|decimal.*)$")
-    fits = F.when(number, value.try_cast("double").isNotNull()).when(kind == "boolean", value.try_cast("boolean").isNotNull())
-    return value.isNull() | F.coalesce(fits.when(kind.isin("date", "timestamp", "timestamp_ntz"), value.try_cast("timestamp").isNotNull()), F.lit(True))
+    fits = F.when(of == "number", value.try_cast("double").isNotNull()).when(of == "truth", value.try_cast("boolean").isNotNull()).when(of == "time", value.try_cast("timestamp").isNotNull())
+    return value.isNull() | fits.otherwise(True)
 
 
 def schemas(files: DataFrame) -> DataFrame:
@@ -111,7 +123,7 @@ def schemas(files: DataFrame) -> DataFrame:
     key = lambda m: F.map_keys(m)
     own = files.select(
         "plan_id", "next_plan",
-        F.transform_values(F.coalesce("before", "now"), lambda k, v: v["target_type"]).alias("enforced"),
+        F.transform_values(F.coalesce("before", "now"), lambda k, v: family(v["target_type"])).alias("enforced"),
         F.when(F.col("before").isNotNull(), F.array_except(key("now"), key("before"))).alias("fresh"),
         F.when(F.col("before").isNotNull(), F.array_except(key("before"), key("now"))).alias("gone"))
     later = own.where("size(gone) > 0 and size(fresh) > 0").select(F.col("plan_id").alias("next_plan"), F.col("gone").alias("gone_next"))
@@ -129,14 +141,17 @@ def rescue(rows: DataFrame, files: DataFrame) -> DataFrame:
     distinct = rows.select("plan_id", "row_no", "row_key", "payload").dropDuplicates()
     known, small = bounded_broadcast(stage(schemas(files), "drift-schemas"))
     read = distinct.join(known, "plan_id", "left") if small else salted_join(stage(distinct, "drift-rows"), known, "plan_id")
-    read = read.withColumn("f", F.filter(as_fields(F.col("payload")), lambda e: ~((e["k"] == "row_key") & e["value"].eqNullSafe(F.col("row_key")))))
-    read = read.withColumn("at", F.transform("f", lambda e: e["k"]))
-    good = lambda e, i: F.map_contains_key("enforced", e["k"]) & casts(e["value"], F.col("enforced")[e["k"]]) & (F.array_position("at", e["k"]) == i + 1)
-    has = F.col("enforced").isNotNull()
+    own_key = lambda e: (e["k"] == "row_key") & e["value"].eqNullSafe(F.col("row_key"))
+    marked = lambda f, at: F.transform(f, lambda e, i: let(F.col("enforced")[e["k"]], lambda of: F.struct(
+        e["k"].alias("k"), e["key"].alias("key"), e["value"].alias("value"), (of.isNotNull() & (F.array_position(at, e["k"]) == i + 1) & casts(e["value"], of)).alias("good"))))
+    fields = let(F.filter(as_fields(F.col("payload")), lambda e: ~own_key(e)), lambda f: let(F.transform(f, lambda e: e["k"]), lambda at: marked(f, at)))
+    read = read.withColumn("f", fields)
+    bare = lambda e: F.struct(e["k"].alias("k"), e["key"].alias("key"), e["value"].alias("value"))
+    good = lambda e: F.coalesce(e["good"], F.lit(False))
     return read.select(
         "plan_id", "row_no", "row_key", "next_plan", "fresh", "gone_next", F.col("f").isNull().alias("broken"),
-        F.when(has, F.filter("f", lambda e, i: good(e, i))).otherwise(F.when(F.col("f").isNotNull(), F.filter("f", lambda e: F.lit(False)))).alias("kept"),
-        F.when(F.col("f").isNull(), F.col("payload")).otherwise(as_json(F.when(has, F.filter("f", lambda e, i: ~good(e, i))).otherwise(F.col("f")))).alias("_rescued"),
+        F.transform(F.filter("f", good), bare).alias("kept"),
+        F.when(F.col("f").isNull(), F.col("payload")).otherwise(as_json(F.filter("f", lambda e: ~good(e)))).alias("_rescued"),
     )
 
 
@@ -222,7 +237,7 @@ def changes(plans: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def routes(plans: DataFrame, files: DataFrame, renamed: DataFrame, kinds: DataFrame) -> DataFrame:
-    """Per file, the approved fields: ``kind_of`` (field → type) and ``field_of`` (column → field).
+    """Per file, the approved fields: ``route`` (field → column and its type).
 
     A field's column is the catalog name most often given to it, over its
     renames, within its feed.
@@ -237,10 +252,7 @@ def routes(plans: DataFrame, files: DataFrame, renamed: DataFrame, kinds: DataFr
     # One field per file and column; a second one stays in the rescue column.
     chosen = files.select("plan_id", "feed_key", F.explode(F.map_keys("now")).alias("field")).join(target, ["feed_key", "field"]).groupBy("plan_id", "target_name").agg(F.min("field").alias("field"))
     one = chosen.join(listed, "target_name").groupBy("plan_id", "field").agg(F.min(F.struct("target_name", "kind")).alias("x"))  # a plan in two feeds
-    return one.groupBy("plan_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("field", F.coalesce("x.kind", F.lit("string"))))).alias("kind_of"),
-        F.map_from_entries(F.collect_list(F.struct(F.col("x.target_name"), "field"))).alias("field_of"),
-    )
+    return one.groupBy("plan_id").agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("x.target_name", F.coalesce("x.kind", F.lit("string")).alias("kind"))))).alias("route"))
 
 
 def replay(ingested: DataFrame, routed: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
@@ -248,23 +260,25 @@ def replay(ingested: DataFrame, routed: DataFrame, names: list[tuple[str, str]])
     where, small = bounded_broadcast(routed)
     rows = ingested.select("plan_id", "row_no", "row_key", "broken", "_rescued", all_fields().alias("f"))
     read = rows.join(where, "plan_id", "left") if small else salted_join(stage(rows, "drift-all"), where, "plan_id")
-    read = read.withColumn("keys", F.transform("f", lambda e: e["k"])).withColumn("vals", F.transform("f", lambda e: e["value"]))
     as_text = ("string", "skipped", "time", "binary")
 
-    def value_of(name: str, kind: str) -> Column:
-        at = F.array_position("keys", F.col("field_of")[name])  # the first of keys that differ in case
-        v = F.when(at > 0, F.try_element_at("vals", at.cast("int")))
-        return (v if kind in as_text else v.try_cast(kind)).alias(name)
-
     def fails(kind: Column, v: Column) -> Column:
-        out = F.lit(False)
+        out = F.when(kind.isin(*as_text), False)
         for t in sorted({t for _, t in names if t not in as_text}):
-            out = F.when(kind == t, v.isNotNull() & v.try_cast(t).isNull()).otherwise(out)
-        return out
-
-    placed = lambda e, i: F.coalesce(F.map_contains_key("kind_of", e["k"]), F.lit(False)) & (F.array_position("keys", e["k"]) == i + 1) & ~fails(F.col("kind_of")[e["k"]], e["value"])
-    left = F.when(F.col("broken"), F.col("_rescued")).otherwise(as_json(F.filter("f", lambda e, i: ~placed(e, i))))
-    return read.select("plan_id", "row_no", "row_key", *[value_of(n, t) for n, t in names], left.alias("_rescued"))
+            out = out.when(kind == t, v.isNotNull() & v.try_cast(t).isNull())
+        return out.otherwise(False)
+
+    def routed(f: Column, at: Column) -> Column:
+        """Fields with the column they go to, null where they stay; the first of keys that differ in case goes."""
+        return F.transform(f, lambda e, i: let(F.col("route")[e["k"]], lambda r: F.struct(
+            e["k"].alias("k"), e["key"].alias("key"), e["value"].alias("value"), F.when((F.array_position(at, e["k"]) == i + 1) & ~fails(r["kind"], e["value"]), r["target_name"]).alias("to"))))
+
+    read = read.withColumn("f", let(F.col("f"), lambda f: let(F.transform(f, lambda e: e["k"]), lambda at: routed(f, at))))
+    typed = F.map_from_entries(F.transform(F.filter("f", lambda e: e["to"].isNotNull()), lambda e: F.struct(e["to"], e["value"])))
+    left = F.when(F.col("broken"), F.col("_rescued")).otherwise(as_json(F.filter("f", lambda e: e["to"].isNull())))
+    read = read.select("plan_id", "row_no", "row_key", typed.alias("typed"), left.alias("_rescued"))
+    value_of = lambda name, kind: (F.col("typed")[name] if kind in as_text else F.col("typed")[name].try_cast(kind)).alias(name)
+    return read.select("plan_id", "row_no", "row_key", *[value_of(n, t) for n, t in names], "_rescued")
 
 
 def consistent_table(plans: DataFrame, rows: DataFrame, catalog: DataFrame) -> DataFrame:
