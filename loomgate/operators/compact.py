@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomgate.runtime import bounded_broadcast, prefer, salted_join, shared_path, stage, unstage
+from loomgate.store import replace_text
 
 #: Bytes of payload per output file, rows per piece of a file, files per heap, output files per task.
 TARGET_BYTES, PIECE_ROWS, SHARD_FILES, TASK_GROUPS = 128 << 20, 1_000_000, 50_000, 4
@@ -250,16 +251,7 @@ def publish(spark: SparkSession, folder: str, manifest: DataFrame) -> None:
     """Write the manifest beside the data, then rename a pointer to it into place."""
     name = f"manifest-{uuid.uuid4().hex}"
     manifest.write.parquet(f"{folder}/{name}")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    tmp, final = jvm.org.apache.hadoop.fs.Path(f"{folder}/.CURRENT.tmp"), jvm.org.apache.hadoop.fs.Path(f"{folder}/CURRENT")
-    store = final.getFileSystem(conf)
-    out = store.create(tmp, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri() if final.toUri().getScheme() else store.getUri(), conf)
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(store.makeQualified(tmp), store.makeQualified(final), options)
+    replace_text(spark, f"{folder}/CURRENT", name)
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,41 +1,55 @@
 """Orphan references, kept as keyed pending state.
 
 A *reference* names a parent key at a point in time; a *parent fact* says when
-a row of that key arrived and when it was deleted. The ledger holds
-
-* ``index``: per parent key the arrivals and deletions seen so far,
-* ``pending``: references that did not resolve, with the reason,
-* ``settled``: references that did.
-
-``apply`` takes one batch of both. New references probe the index, arriving
-parents re-examine waiting orphans of their key, and deletions re-examine
-settled references that lie after the earliest deletion of the batch. The
-state after any sequence of batches equals that of one batch with everything.
+a row of that key arrived and when it was deleted. The ledger is a folder:
+
+* ``events``: arrivals and deletions, one segment per batch, only ever added to;
+* ``refs``: every reference seen, likewise;
+* ``pending``: the references that do not resolve, with the reason, one
+  generation per batch (all other references are settled);
+* ``snapshots``: open orphans per table and month after each batch;
+* ``STATE``: the last whole batch, renamed into place, so that a batch which
+  was cut off is as if it had not begun, and another session can ``load`` it.
+
+``apply`` takes one batch of both and looks at touched keys only: new
+references probe the index, arriving parents re-examine waiting orphans of their
+keys, and deletions re-examine the settled references of their keys that lie
+at or after them. The state after any sequence of batches equals that of one
+batch with everything.
 
 Edge cases: null keys refer to nothing and are ignored; a null reference time
 means "now" (after every event); a parent without an arrival time counts as
 not yet arrived; a parent deleted before it arrived is never live; repeated
-references and facts count once; empty inputs leave the state as it was.
+references and, within a batch, repeated facts count once; empty inputs leave
+the orphans as they were.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgate.runtime import salted_join, stage
+from loomgate.runtime import bounded_broadcast, salted_join, shared_path, stage, unstage
+from loomgate.store import read_text, replace_text
 
 REFS = ["ref_field", "record_id", "ref_key", "parent_key", "at", "table_key"]
 _REF_SCHEMA = "ref_field string, record_id bigint, ref_key string, parent_key string, at timestamp_ntz, table_key string"
 _PENDING_SCHEMA = _REF_SCHEMA + ", orphan_kind string"
-_INDEX_SCHEMA = "parent_key string, events array<struct<t:timestamp_ntz,d:bigint>>, first_arrival timestamp_ntz"
+_EVENT_SCHEMA = "parent_key string, t timestamp_ntz, d bigint"
+_COUNT_SCHEMA = "table_key string, period string, ref_field string, orphan_kind string, orphans bigint"
 FAR = "9999-12-31 00:00:00"
 
 
+def _far() -> Column:
+    return F.lit(FAR).cast("timestamp_ntz")
+
+
 def parent_events(parents: DataFrame) -> DataFrame:
     """(parent_key, live_from, live_to) facts → one +1 and at most one −1 event each."""
     facts = parents.select("parent_key", "live_from", "live_to").where("parent_key is not null").dropDuplicates()
-    born = F.coalesce("live_from", F.lit(FAR).cast("timestamp_ntz"))
+    born = F.coalesce("live_from", _far())
     event = lambda t, d: F.struct(t.alias("t"), F.lit(d).cast("long").alias("d"))
     return facts.select(
         "parent_key",
@@ -48,60 +62,89 @@ def parent_events(parents: DataFrame) -> DataFrame:
 
 
 class OrphanLedger:
-    """Incremental state of one family of references."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.index = spark.createDataFrame([], _INDEX_SCHEMA)
-        self.pending = spark.createDataFrame([], _PENDING_SCHEMA)
-        self.settled = spark.createDataFrame([], _REF_SCHEMA)
-        self._empty = True
-
-    def apply(self, refs: DataFrame, events: DataFrame) -> None:
+    """Incremental state of one family of references, in a folder."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.batch = spark, 0
+        self.path = shared_path(spark, "orphan-ledger") if path is None else path.rstrip("/")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> OrphanLedger:
+        """The ledger as its last whole batch left it; a new one where there is none."""
+        ledger = cls(spark, path)
+        state = read_text(spark, f"{ledger.path}/STATE")
+        ledger.batch = json.loads(state)["batch"] if state else 0
+        return ledger
+
+    def _segments(self, name: str, schema: str, upto: int) -> DataFrame:
+        paths = [f"{self.path}/{name}/{n:06d}" for n in range(1, upto + 1)]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _write(self, df: DataFrame, name: str, n: int, schema: str) -> DataFrame:
+        where = f"{self.path}/{name}/{n:06d}"
+        df.write.mode("overwrite").parquet(where)
+        return self.spark.read.schema(schema).parquet(where)
+
+    @property
+    def pending(self) -> DataFrame:
+        if not self.batch:
+            return self.spark.createDataFrame([], _PENDING_SCHEMA)
+        return self.spark.read.schema(_PENDING_SCHEMA).parquet(f"{self.path}/pending/{self.batch:06d}")
+
+    def apply(self, refs: DataFrame | None, events: DataFrame | None) -> None:
         """Fold one batch of references and of ``parent_events`` into the state."""
-        refs = refs.select(*REFS).where("ref_key is not null and parent_key is not null").dropDuplicates()
-        # Equal events are counted before they are gathered: the gathered list
-        # holds the distinct event times of one key, not its rows.
-        fresh = (
-            events.groupBy("parent_key", "t", F.signum("d").alias("s"))
-            .agg(F.sum("d").alias("d"))
-            .groupBy("parent_key")
-            .agg(
-                F.collect_list(F.struct("t", "d")).alias("events"),
-                F.min(F.when((F.col("d") > 0) & (F.col("t") < F.lit(FAR).cast("timestamp_ntz")), F.col("t"))).alias("first_arrival"),
-            )
-        )
-        if self._empty:
-            index = stage(fresh, "orphan-index")
-            candidates, kept_settled = refs, self.settled
+        n, before = self.batch + 1, self.pending
+        refs = self.spark.createDataFrame([], _REF_SCHEMA) if refs is None else refs
+        new = self._write(refs.select(*REFS).where("ref_key is not null and parent_key is not null").dropDuplicates(), "refs", n, _REF_SCHEMA)
+        candidates, kept = new, before
+        if events is None:
+            self._write(self.spark.createDataFrame([], _EVENT_SCHEMA), "events", n, _EVENT_SCHEMA)
         else:
-            merged = (
-                self.index.unionByName(fresh)
-                .groupBy("parent_key")
-                .agg(F.flatten(F.collect_list("events")).alias("events"), F.min("first_arrival").alias("first_arrival"))
-            )
-            index = stage(merged, "orphan-index")
-            # Settled references before the earliest deletion of the batch cannot reopen.
-            first = events.where("d < 0").agg(F.min("t")).first()[0]
-            reopen = F.lit(False) if first is None else F.coalesce("at", F.lit(FAR).cast("timestamp_ntz")) >= F.lit(first).cast("timestamp_ntz")
-            candidates = refs.unionByName(self.pending.select(*REFS)).unionByName(self.settled.where(reopen))
-            kept_settled = self.settled.where(~reopen)
-        probed = stage(classify(candidates, index), "orphan-probed")
-        self.pending = probed.where("orphan_kind is not null").select(*REFS, "orphan_kind")
-        self.settled = kept_settled.unionByName(probed.where("orphan_kind is null").select(*REFS))
-        self.index, self._empty = index, False
+            # Equal events are summed: the index holds the distinct event times of a key, not its rows.
+            summed = events.groupBy("parent_key", "t", F.signum("d").alias("s")).agg(F.sum("d").alias("d")).select("parent_key", "t", "d")
+            fresh = self._write(summed, "events", n, _EVENT_SCHEMA)
+            if self.batch:
+                touched = stage(fresh.groupBy("parent_key").agg(F.min(F.when(F.col("d") < 0, F.col("t"))).alias("first_deletion")), "orphan-touched")
+                keys, _ = bounded_broadcast(touched)
+                waiting = before.join(keys, "parent_key", "left_semi").select(*REFS)
+                ended, _ = bounded_broadcast(touched.where("first_deletion is not null"))
+                settled = self._segments("refs", _REF_SCHEMA, self.batch).join(ended, "parent_key").where(F.coalesce("at", _far()) >= F.col("first_deletion")).select(*REFS)
+                candidates = new.unionByName(waiting).unionByName(settled)
+                # Those of reopened keys are among the touched, so none is kept and examined.
+                kept = before.join(keys, "parent_key", "left_anti")
+        probed = classify(candidates, self.index(candidates, n)).where("orphan_kind is not null").dropDuplicates()
+        now = self._write(kept.select(*REFS, "orphan_kind").unionByName(probed), "pending", n, _PENDING_SCHEMA)
+        self._write(open_orphans(now), "snapshots", n, _COUNT_SCHEMA)
+        replace_text(self.spark, f"{self.path}/STATE", json.dumps({"batch": n}))
+        self.batch = n
+
+    def index(self, candidates: DataFrame, upto: int) -> DataFrame:
+        """Per parent key its events in one row; for few candidates only their keys are gathered."""
+        log = self._segments("events", _EVENT_SCHEMA, upto)
+        keys, few = bounded_broadcast(candidates.select("parent_key").distinct())
+        log = log.join(keys, "parent_key", "left_semi") if few else log
+        arrived = F.min(F.when((F.col("d") > 0) & (F.col("t") < _far()), F.col("t")))
+        return log.groupBy("parent_key").agg(F.collect_list(F.struct("t", "d")).alias("events"), arrived.alias("first_arrival"))
 
     def snapshot(self) -> DataFrame:
         """Open orphans per table, month of the reference, field and kind."""
-        return (
-            self.pending.groupBy("table_key", F.date_format("at", "yyyy-MM").alias("period"), "ref_field", "orphan_kind")
-            .agg(F.count(F.lit(1)).alias("orphans"))
-        )
+        return self.spark.read.schema(_COUNT_SCHEMA).parquet(f"{self.path}/snapshots/{self.batch:06d}") if self.batch else self.spark.createDataFrame([], _COUNT_SCHEMA)
+
+    def history(self) -> DataFrame:
+        """The snapshots of all batches, with their ``batch``."""
+        if not self.batch:
+            return self.spark.createDataFrame([], "batch int, " + _COUNT_SCHEMA)
+        number = F.regexp_extract(F.col("_metadata.file_path"), r"/snapshots/(\d+)/", 1).cast("int")
+        return self._segments("snapshots", _COUNT_SCHEMA, self.batch).select(number.alias("batch"), "*")
+
+
+def open_orphans(pending: DataFrame) -> DataFrame:
+    return pending.groupBy("table_key", F.date_format("at", "yyyy-MM").alias("period"), "ref_field", "orphan_kind").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 def classify(refs: DataFrame, index: DataFrame) -> DataFrame:
     """Probe each reference against the parent index at its own time."""
-    at = F.coalesce("at", F.lit(FAR).cast("timestamp_ntz"))
+    at = F.coalesce("at", _far())
     joined = salted_join(refs, index, "parent_key").withColumn("__at", at)
     live = F.aggregate(F.col("events"), F.lit(0).cast("long"), lambda n, e: n + F.when(e["t"] <= F.col("__at"), e["d"]).otherwise(F.lit(0).cast("long")))
     kind = (
@@ -113,35 +156,29 @@ def classify(refs: DataFrame, index: DataFrame) -> DataFrame:
     return joined.select(*REFS, kind.alias("orphan_kind"))
 
 
-def replay(spark: SparkSession, refs: DataFrame, parents: DataFrame, batches: int = 3) -> OrphanLedger:
-    """Rebuild the ledger from history in ``batches`` slices of event time.
+def replay(spark: SparkSession, refs: DataFrame, parents: DataFrame, slices: int = 3, path: str | None = None) -> OrphanLedger:
+    """Build the ledger from history, batch by batch, as it would have arrived.
 
-    Slices are cut at quantiles of the reference times so that each holds a
-    like number of references; parent events join the slice they happened in.
+    Time from the first to the last reference is cut into equal slices. A batch
+    brings the references of its slice and the parent events of the slice
+    before: parent tables are synchronised one batch after the records that
+    refer to them. So references wait for their parents and deletions become
+    known after references were settled.
     """
-    refs, events = stage(refs, "orphan-refs"), stage(parent_events(parents), "orphan-events")
-    ledger = OrphanLedger(spark)
-    cuts = []
-    if batches > 1:
-        seconds = F.expr("unix_micros(cast(at as timestamp))")
-        found = refs.where("at is not null").agg(F.percentile_approx(seconds, [k / batches for k in range(1, batches)], 1000)).first()[0] or []
-        cuts = sorted(set(found))
-    bounds = [None, *cuts, None]
-    for low, high in zip(bounds, bounds[1:]):
-        ledger.apply(_slice(refs, "at", low, high), _slice(events, "t", low, high))
+    micros = lambda t: F.unix_micros(F.coalesce(F.col(t), _far()).cast("timestamp"))
+    refs, events = stage(refs, "orphan-refs"), parent_events(parents)
+    low, high = refs.agg(F.min(F.unix_micros(F.col("at").cast("timestamp"))), F.max(F.unix_micros(F.col("at").cast("timestamp")))).first()
+    low, high = (0, 0) if low is None else (low, high)
+    number = lambda t: F.least(F.greatest(F.floor((micros(t) - low) * slices / F.lit(high - low + 1)), F.lit(0)), F.lit(slices - 1)).cast("int")
+    events = stage(events.withColumn("slice", number("t")), "orphan-events")
+    refs_of = refs.withColumn("slice", number("at"))
+    ledger = OrphanLedger(spark, path)
+    for b in range(slices + 1):
+        ledger.apply(refs_of.where(F.col("slice") == b).drop("slice") if b < slices else None, events.where(F.col("slice") == b - 1).drop("slice") if b else None)
+    unstage(refs, events)
     return ledger
 
 
-def _slice(df: DataFrame, column: str, low: int | None, high: int | None) -> DataFrame:
-    when = F.expr(f"unix_micros(cast(coalesce({column}, timestamp_ntz'{FAR}') as timestamp))")
-    keep = F.lit(True)
-    if low is not None:
-        keep = keep & (when > low)
-    if high is not None:
-        keep = keep & (when <= high)
-    return df.where(keep)
-
-
 # ---------------------------------------------------------------- this project's tables
 
 #: Allocation columns and the table whose rows their original id names.
@@ -193,6 +230,5 @@ def found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, d: str) -> DataFrame:
-    """Orphans per table and month."""
-    ledger = replay(spark, *allocation_references(spark, d))
-    return ledger.snapshot()
+    """Open orphans per table and month after each batch; the last batch is the state now."""
+    return replay(spark, *allocation_references(spark, d)).history()

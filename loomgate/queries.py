@@ -19,7 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": reconcile.found,
 }
 
-_P2 = """
+_P2_REFS = """
 with refs as (
   select distinct 'original_id' ref_field, allocation_id record_id, cast(original_id as varchar) ref_key, recorded_at at_time, lower(table_name) table_key,
     case when lower(column_name) = 'contractsid' then 'c' else 'l' end || original_id pk
@@ -35,7 +35,9 @@ parents as (
   union select 'l' || locationsid, loaded_at, deleted_at from tlocation
   union select lower(table_name) || job_id || ':' || new_sid, recorded_at, null from allocation_records
     where new_sid is not null and lower(column_name) = regexp_replace(lower(table_name), '^t', '') || 'sid'
-  union select 'j' || lower(table_name) || ':' || job_id, finished_at, null from transform_results),
+  union select 'j' || lower(table_name) || ':' || job_id, finished_at, null from transform_results)
+"""
+_P2 = _P2_REFS + """,
 judged as (
   select ref_field, record_id, ref_key, at_time, table_key, count(p.pk) n,
     coalesce(bool_or(p.a <= at_time and (p.b is null or p.b > at_time)), false) live, coalesce(bool_or(p.a <= at_time), false) came
@@ -58,7 +60,17 @@ rows as (
 
 ORACLES: dict[str, str] = {
     "p2_found": _P2 + "select ref_field, record_id, ref_key, orphan_kind from orphans",
-    "p2_counts": _P2 + "select table_key, strftime(at_time, '%Y-%m') period, ref_field, orphan_kind, count(*) orphans from orphans group by all",
+    "p2_counts": _P2_REFS + """,
+bounds as (select epoch_us(min(at_time)) low, epoch_us(max(at_time)) high from refs),
+r as (select refs.*, least(greatest(floor((epoch_us(coalesce(at_time, timestamp '9999-12-31')) - low) * 3 / (high - low + 1)), 0), 2) slice from refs, bounds),
+p as (select pk, coalesce(a, timestamp '9999-12-31') a, case when b is not null then greatest(coalesce(a, timestamp '9999-12-31'), b) end b from parents),
+e as (select p.*, least(greatest(floor((epoch_us(a) - low) * 3 / (high - low + 1)), 0), 2) a_slice, least(greatest(floor((epoch_us(b) - low) * 3 / (high - low + 1)), 0), 2) b_slice from p, bounds),
+judged as (
+  select batch, ref_field, record_id, ref_key, at_time, table_key, count(e.pk) n,
+    coalesce(bool_or(e.a <= at_time and not coalesce(b_slice <= batch - 2 and e.b <= at_time, false)), false) live, coalesce(bool_or(e.a <= at_time), false) came
+  from range(1, 5) g(batch) join r on r.slice <= batch - 1 left join e on e.pk = r.pk and a_slice <= batch - 2 group by all)
+select cast(batch as integer) batch, table_key, strftime(at_time, '%Y-%m') period, ref_field, case when n = 0 then 'missing' when not came then 'late' else 'deleted' end orphan_kind, count(*) orphans
+from judged where not live group by all""",
     "p3_found": _P3 + "select file_id, row_no from rows where not ok or k > 1",
     "p3_manifest": _P3 + """
 select target, cast(ceil(sum(strlen(payload) + 24) / 1048576.0) as bigint) files, count(*) "rows", sum(strlen(payload)) payload_bytes
