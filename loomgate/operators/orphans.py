@@ -31,7 +31,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgate.runtime import bounded_broadcast, salted_join, shared_path, stage, unstage
+from loomgate.runtime import TASK_ROWS, bounded_broadcast, salted_join, shared_path, stage, unstage
 from loomgate.store import read_text, replace_text
 
 REFS = ["ref_field", "record_id", "ref_key", "parent_key", "at", "table_key"]
@@ -105,24 +105,26 @@ class OrphanLedger:
             fresh = self._write(summed, "events", n, _EVENT_SCHEMA)
             if self.batch:
                 touched = stage(fresh.groupBy("parent_key").agg(F.min(F.when(F.col("d") < 0, F.col("t"))).alias("first_deletion")), "orphan-touched")
-                keys, _ = bounded_broadcast(touched)
+                keys, small = bounded_broadcast(touched)
+                ended = touched.where("first_deletion is not null")
                 waiting = before.join(keys, "parent_key", "left_semi").select(*REFS)
-                ended, _ = bounded_broadcast(touched.where("first_deletion is not null"))
-                settled = self._segments("refs", _REF_SCHEMA, self.batch).join(ended, "parent_key").where(F.coalesce("at", _far()) >= F.col("first_deletion")).select(*REFS)
-                candidates = new.unionByName(waiting).unionByName(settled)
+                settled = self._segments("refs", _REF_SCHEMA, self.batch).join(F.broadcast(ended) if small else ended, "parent_key")
+                settled = settled.where(F.coalesce("at", _far()) >= F.col("first_deletion")).select(*REFS)
+                candidates = stage(new.unionByName(waiting).unionByName(settled), "orphan-candidates")
                 # Those of reopened keys are among the touched, so none is kept and examined.
                 kept = before.join(keys, "parent_key", "left_anti")
         probed = classify(candidates, self.index(candidates, n)).where("orphan_kind is not null").dropDuplicates()
         now = self._write(kept.select(*REFS, "orphan_kind").unionByName(probed), "pending", n, _PENDING_SCHEMA)
         self._write(open_orphans(now), "snapshots", n, _COUNT_SCHEMA)
+        unstage(candidates)
         replace_text(self.spark, f"{self.path}/STATE", json.dumps({"batch": n}))
         self.batch = n
 
     def index(self, candidates: DataFrame, upto: int) -> DataFrame:
         """Per parent key its events in one row; for few candidates only their keys are gathered."""
         log = self._segments("events", _EVENT_SCHEMA, upto)
-        keys, few = bounded_broadcast(candidates.select("parent_key").distinct())
-        log = log.join(keys, "parent_key", "left_semi") if few else log
+        if candidates.count() <= TASK_ROWS:
+            log = log.join(F.broadcast(candidates.select("parent_key").distinct()), "parent_key", "left_semi")  # at most TASK_ROWS keys
         arrived = F.min(F.when((F.col("d") > 0) & (F.col("t") < _far()), F.col("t")))
         return log.groupBy("parent_key").agg(F.collect_list(F.struct("t", "d")).alias("events"), arrived.alias("first_arrival"))
 
@@ -175,7 +177,9 @@ def replay(spark: SparkSession, refs: DataFrame, parents: DataFrame, slices: int
     ledger = OrphanLedger(spark, path)
     for b in range(slices + 1):
         ledger.apply(refs_of.where(F.col("slice") == b).drop("slice") if b < slices else None, events.where(F.col("slice") == b - 1).drop("slice") if b else None)
-    unstage(refs, events)
+        if b == slices - 1:
+            unstage(refs)
+    unstage(events)
     return ledger
 
 

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,3 +139,35 @@ def _hashable(df: DataFrame, name: str) -> bool:
 def prefer(n_rows: int, per_task: int, least: int = 1) -> int:
     """Number of groups so that each holds about ``per_task`` rows."""
     return max(least, -(-n_rows // per_task))
+
+
+def in_ranges(df: DataFrame, by: list[str], order: list[str], task_rows: int = TASK_ROWS) -> tuple[DataFrame, int]:
+    """Rows spread by ranges of (by, order), staged with the number ``__range`` of theirs; and how many ranges.
+
+    Equal (by, order) share a range. A group with a third of all rows lies in
+    many ranges, so work on ``(__range, by)`` has no hot group.
+    """
+    rows = stage(df, "unordered")
+    n = prefer(rows.count(), task_rows)
+    if n == 1:
+        return rows.withColumn("__range", F.lit(0)), 1
+    return stage(rows.repartitionByRange(n, *by, *order).withColumn("__range", F.spark_partition_id()), "ranges"), n
+
+
+def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, out: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows of its group up to and with its own, and equals of ``order``.
+
+    Sums are made inside ranges and offset by the totals of the ranges before.
+    """
+    rows, n = in_ranges(df, by, order, task_rows)
+    inside = rows.withColumn(out, F.sum(value).over(W.partitionBy(*by, "__range").orderBy(*order)))
+    if n == 1:
+        return inside.drop("__range")
+    totals = rows.groupBy(*by, "__range").agg(F.sum(value).alias("__sum"))
+    # Only groups that reach over a range's end have an offset: fewer than there are ranges.
+    before = totals.withColumn("__before", F.sum("__sum").over(W.partitionBy(*by).orderBy("__range").rowsBetween(W.unboundedPreceding, -1))).where("__before is not null")
+    offsets, _ = bounded_broadcast(stage(before.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__range").alias("__r"), "__before"), "range-offsets"))
+    same = F.col("__range") == F.col("__r")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    return inside.join(offsets, same, "left").withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0))).drop("__range", "__r", "__before", *[f"__by_{c}" for c in by])
