@@ -6,60 +6,64 @@ automaton over the items' five-word runs scans each document's word text
 once; hits are chained along the item (a word may be altered, put in or left
 out between them), the ends are extended word by word, and the chain counts
 when it covers ``MIN_WORDS`` words of the item running, or all of it. Matches
-carry offsets into the original message.
+carry offsets into the original message, in HTML and attached messages too.
 
 Standing instructions - openings shared by many items - give no seeds and do
-not count. Each executor process builds the automaton once. Items are a
-stated query set: they are scanned in blocks of bounded size, every document
-against every block, so any number of items works.
+not count. Items are a stated query set: their words lie in the shared folder,
+from which each executor process builds the automaton once. Should they exceed
+one automaton's memory they are kept as several, and every text, read once from
+its message, is scanned by each in turn; there is one pass over the documents
+however many items there are.
 
 Edge cases: null or empty documents and items match nothing; an item shorter
-than a seed is matched whole as one pattern; repeated documents and items
-each count; very long texts are scanned whole, part by part.
+than a seed is matched whole as one pattern; repeated documents each count,
+repeated items once; very long texts are scanned whole, part by part.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgate.llm import mail
+from loomgate.runtime import bounded_broadcast, shared_path
 
 SEED, MIN_WORDS = 5, 20
 #: Longest stretch without a seed inside a chain, and shift of words it may hold.
 GAP, SHIFT = 12, 4
 #: An opening run shared by this share of the items (and at least 3) is an instruction.
 SHARED = 0.02
-#: Characters of items per automaton: about 150 MB in an executor's Python.
-BLOCK_CHARS = 1_000_000
+#: Characters of items per automaton (about 150 MB in an executor's Python), automata kept built, characters of messages read at once.
+BLOCK_CHARS, KEPT_BLOCKS, READ_CHARS = 1_000_000, 2, 16_000_000
 
 _QUOTES = {ord(c): None for c in "'’‘ʼ`´′"}
 _WORD = re.compile(r"[^\W_]+")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.translate(_QUOTES).lower())
+    """Words in lower case; a dot that lower-casing sets beside a letter is dropped."""
+    return [w.lower().replace("\u0307", "") for w in _WORD.findall(text.translate(_QUOTES))]
 
 
 class Matcher:
     """Automaton over one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], shared_runs: set[tuple]):
+    def __init__(self, items: list[tuple[int, list[str], int]]):
+        """Items are (id, words, number of opening words that are an instruction)."""
         import ahocorasick
 
-        self.items = {i: words(t) for i, t in items}
-        self.skip = {i: instruction_words(w, shared_runs) for i, w in self.items.items()}
+        self.items = [(i, w, skip) for i, w, skip in items if w]
         seeds = defaultdict(list)
-        for i, w in self.items.items():
+        for at, (_, w, skip) in enumerate(self.items):
             n = min(SEED, len(w))
-            for p in range(self.skip[i], len(w) - n + 1):
-                if n:
-                    seeds[" ".join(w[p : p + n])].append((i, p))
+            for p in range(skip, len(w) - n + 1):
+                seeds[" ".join(w[p : p + n])].append((at, p))
         self.automaton = ahocorasick.Automaton()
         for s, where in seeds.items():
             self.automaton.add_word(f" {s} ", (len(s), where))
@@ -81,29 +85,34 @@ class Matcher:
                     index[at] = k
                     at += len(w) + 1
             k = index[end - size - 1]
-            for item, p in where:
-                hits[item].append((k, p))
+            for at, p in where:
+                hits[at].append((k, p))
         out = []
-        for item, found in hits.items():
-            out += self.chains(item, doc, found)
+        for at, found in hits.items():
+            out += self.chains(at, doc, found)
         return out
 
-    def chains(self, item: int, doc: list[str], found: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-        w, out, open_ = self.items[item], [], []
+    def chains(self, at: int, doc: list[str], found: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """Chain hits that follow one another; one open chain per diagonal, so the work is linear in the hits."""
+        item, w, skip = self.items[at]
+        done, open_ = [], {}
         for k, p in sorted(found):
             best = None
-            for c in open_:
-                dk, dp = k - c[2], p - c[3]
-                if 0 < dk <= GAP + SEED and 0 < dp <= GAP + SEED and abs(dk - dp) <= SHIFT and (best is None or c[3] - c[1] > best[3] - best[1]):
+            for diagonal in range(k - p - SHIFT, k - p + SHIFT + 1):
+                c = open_.get(diagonal)
+                if c and 0 < k - c[2] <= GAP + SEED and 0 < p - c[3] <= GAP + SEED and (best is None or c[3] - c[1] > best[3] - best[1]):
                     best = c
             if best is None:
-                open_.append([k, p, k, p])
+                best = [k, p, k, p]
             else:
+                del open_[best[2] - best[3]]
                 best[2], best[3] = k, p
-        need = min(MIN_WORDS, len(w) - self.skip[item])
-        for k0, p0, k1, p1 in open_:
-            n = min(SEED, len(w))
-            k0, p0 = extend(doc, w, k0 - 1, p0 - 1, -1, self.skip[item])
+            if k - p in open_:
+                done.append(open_[k - p])
+            open_[k - p] = best
+        need, out, n = min(MIN_WORDS, len(w) - skip), [], min(SEED, len(w))
+        for k0, p0, k1, p1 in [*done, *open_.values()]:
+            k0, p0 = extend(doc, w, k0 - 1, p0 - 1, -1, skip)
             k1, p1 = extend(doc, w, k1 + n, p1 + n, 1, 0)
             if p1 - (p0 + 1) >= need:
                 out.append((item, k0 + 1, k1))
@@ -127,74 +136,82 @@ def extend(doc: list[str], w: list[str], k: int, p: int, step: int, low: int) ->
             return k, p
 
 
-def instruction_words(w: list[str], shared_runs: set[tuple]) -> int:
-    """Number of opening words that lie in runs shared by many items."""
-    n = 0
-    while tuple(w[n : n + SEED]) in shared_runs:
-        n += 1
-    return n + SEED - 1 if n else 0
+def prepared(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
+    """(item, words, skip): the items' words, and how many opening words lie in runs shared by many items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([words(t) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))], names=["item", "words"])
+
+    given = items.select(F.col(item_id).cast("bigint").alias("item"), F.col(item_text).cast("string").alias("t")).where("item is not null and t is not null").dropDuplicates()
+    spelled = given.mapInArrow(run, "item bigint, words array<string>").where("size(words) > 0").withColumn("no", F.xxhash64("item", "words"))
+    starts = F.when(F.size("words") >= SEED, F.sequence(F.lit(1), F.size("words") - SEED + 1))
+    runs = spelled.select("item", "no", F.posexplode(F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, SEED)))).alias("at", "run"))
+    least = max(3.0, spelled.count() * SHARED)
+    shared, _ = bounded_broadcast(runs.groupBy("run").agg(F.count_distinct("no").alias("n")).where(F.col("n") >= least).select("run", F.lit(True).alias("shared")))
+    # An instruction is an opening: its shared runs start at 0, 1, 2 … without a gap.
+    first_own = runs.join(shared, "run", "left").groupBy("item", "no").agg(F.min(F.when(F.col("shared").isNull(), F.col("at"))).alias("own"), F.count(F.lit(1)).alias("all"))
+    n = F.coalesce("own", "all", F.lit(0))
+    return spelled.join(first_own, ["item", "no"], "left").select("item", "words", F.when(n > 0, n + SEED - 1).otherwise(0).cast("int").alias("skip"))
 
 
-def shared_openings(items: DataFrame, text: str) -> set[tuple]:
-    """Opening word runs that many items share; only openings are gathered, counted in Spark."""
-    w = F.filter(F.split(F.lower(F.translate(F.col(text), "".join(map(chr, _QUOTES)), "")), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    runs = items.where(F.col(text).isNotNull()).select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.slice(w, i, SEED))).alias("r")).where(F.size("r") == SEED)
-    n = items.count()
-    rows = runs.groupBy("r").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(3, n * SHARED)).orderBy(F.desc("n")).limit(10_000).collect()
-    return {tuple(r["r"]) for r in rows}
+_built: OrderedDict[tuple[str, int], Matcher] = OrderedDict()
 
 
-_built: dict[int, Matcher] = {}
+def _matcher(folder: str, block: int) -> Matcher:
+    """The automaton of a block, built from the shared folder unless this process still has it."""
+    from pyarrow import fs
+
+    if (folder, block) in _built:
+        _built.move_to_end((folder, block))
+        return _built[folder, block]
+    while len(_built) >= KEPT_BLOCKS:
+        _built.popitem(last=False)
+    store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    listed = [f.path for f in store.get_file_info(fs.FileSelector(f"{root}/block={block}", allow_not_found=True)) if f.path.endswith(".parquet")]
+    rows = [r for path in sorted(listed) for r in pq.read_table(store.open_input_file(path), partitioning=None).to_pylist()]
+    _built[folder, block] = Matcher([(r["item"], r["words"], r["skip"]) for r in rows])
+    return _built[folder, block]
 
 
 def matches(documents: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str) -> DataFrame:
     """(doc_id, item_id, start, end): passages with offsets in the original text."""
     spark = documents.sparkSession
-    shared = shared_openings(items, item_text)
-    # Items in blocks of bounded size; one pass over the documents per block.
-    sized = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
-    total = sized.agg(F.sum(F.length("t"))).first()[0] or 0
-    n_blocks = max(1, -(-total // BLOCK_CHARS))
-    out = None
-    for b in range(n_blocks):
-        block = [(r["i"], r["t"]) for r in sized.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == b).collect()]
-        found = _scan(spark, documents, block, shared, doc_id, text)
-        out = found if out is None else out.unionByName(found)
-    return out.withColumnsRenamed({"doc_id": doc_id, "item_id": item_id})
-
-
-def _scan(spark: SparkSession, documents: DataFrame, block: list, shared: set, doc_id: str, text: str) -> DataFrame:
-    sent = spark.sparkContext.broadcast((block, shared))  # at most BLOCK_CHARS
-    key = hash((tuple(block), frozenset(shared)))
+    folder = shared_path(spark, "leakage-items")
+    ready = prepared(items, item_id, item_text)
+    total = items.agg(F.sum(F.length(item_text))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_CHARS))
+    ready.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")).repartition("block").write.partitionBy("block").parquet(folder)
+    read = READ_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _built.get(key)
-        if m is None:
-            _built.clear()
-            m = _built[key] = Matcher(*sent.value)
         for batch in batches:
-            ids, its, starts, ends = [], [], [], []
-            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not raw:
-                    continue
-                for part, t in mail.texts(raw):
-                    for item, a, b in m.scan(words(t)):
-                        s, e = original_span(raw, part, t, a, b)
-                        ids.append(i), its.append(item), starts.append(s), ends.append(e)
-            if ids:
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "item_id": pa.array(its, pa.int64()), "start": pa.array(starts, pa.int64()), "end": pa.array(ends, pa.int64())})
-
-    return documents.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(run, "doc_id bigint, item_id bigint, start bigint, end bigint")
-
-
-def original_span(raw: str, part: mail.Part, text: str, a: int, b: int) -> tuple[int, int]:
+            ids, raws = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            at = 0
+            while at < len(ids):
+                readings, size = [], 0
+                while at < len(ids) and size < read:  # each message is parsed once
+                    if raws[at]:
+                        readings += [(ids[at], t, words(t.text)) for t in mail.texts(raws[at])]
+                        size += len(raws[at])
+                    at += 1
+                rows = []
+                for block in range(blocks):
+                    m = _matcher(folder, block)
+                    for i, t, doc in readings:
+                        rows += [(i, item, *original_span(t, a, b)) for item, a, b in m.scan(doc)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "item_id", "start", "end"])
+
+    found = documents.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(run, "doc_id bigint, item_id bigint, start bigint, end bigint")
+    return found.withColumnsRenamed({"doc_id": doc_id, "item_id": item_id})
+
+
+def original_span(read: mail.Text, a: int, b: int) -> tuple[int, int]:
     """Offsets in the raw message of words ``a`` to ``b`` of a part's text."""
-    kept = [i for i, c in enumerate(text) if ord(c) not in _QUOTES]
-    spans = [m.span() for m in _WORD.finditer(text.translate(_QUOTES).lower())]
-    s, e = kept[min(spans[a][0], len(kept) - 1)], kept[min(spans[b - 1][1], len(kept)) - 1] + 1
-    if part.kind == "text/html":  # markup was taken out: the part as a whole is given
-        return part.start, part.end
-    return mail.original_offset(raw, part, s), mail.original_offset(raw, part, e)
+    kept = [i for i, c in enumerate(read.text) if ord(c) not in _QUOTES]
+    spans = [m.span() for m in _WORD.finditer(read.text.translate(_QUOTES))]
+    return read.origin(kept[spans[a][0]], kept[spans[b - 1][1] - 1])
 
 
 # ---------------------------------------------------------------- this project's tables

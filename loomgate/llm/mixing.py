@@ -21,6 +21,7 @@ more, where a total is given; repeated rows of one id count once.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -30,27 +31,37 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgate.runtime import stage
+from loomgate.runtime import bounded_broadcast, stage
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Documents per bucket, and residuals per node of the reduction tree.
-BUCKET_DOCS, FAN_IN = 20_000, 1_000
-#: Longest piece handed to the tokenizer at once; longer texts are cut at blanks.
+BUCKET_DOCS, FAN_IN = 4_000, 1_000
+#: Longer texts are handed to the tokenizer in pieces of about this many characters.
 PIECE_CHARS = 200_000
 # Fixed value: the split pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def encoder(vocabulary: str):
+    """Text → token ids, by a vocabulary file of lines "base64 rank"."""
+    import base64
+
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(vocabulary).read_bytes().splitlines() if line)}
+    return tiktoken.Encoding("loomgate", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 def token_counts(documents: DataFrame, doc_id: str, text: str, source: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, tokens) of every document."""
+    """(doc_id, source, tokens) of every document. The vocabulary file is sent to the executors."""
+    context = documents.sparkSession.sparkContext
+    context.addFile(tokenizer)
+    name = Path(tokenizer).name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import base64
+        from pyspark import SparkFiles
 
-        import tiktoken
-
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(tokenizer).read_bytes().splitlines() if line)}
-        encode = tiktoken.Encoding("loomgate", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encode = encoder(SparkFiles.get(name))
         for batch in batches:
             sizes = [sum(len(encode(p)) for p in pieces(t)) if t else 0 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], names=["doc_id", "source", "tokens"])
@@ -60,14 +71,20 @@ def token_counts(documents: DataFrame, doc_id: str, text: str, source: str, toke
     )
 
 
+# A blank between two other characters begins a word of the split pattern, so the
+# words on either side are the same whether the text is cut before it or not.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
 def pieces(text: str) -> Iterator[str]:
-    """The text in pieces of bounded length, cut before a blank so that tokens stay whole."""
+    """The text in pieces cut on boundaries of the split pattern; without one the piece goes on."""
     at = 0
     while len(text) - at > PIECE_CHARS:
-        end = max(text.rfind(" ", at + 1, at + PIECE_CHARS), text.rfind("\n", at + 1, at + PIECE_CHARS))
-        end = end if end > at else at + PIECE_CHARS
-        yield text[at:end]
-        at = end
+        m = _CUT.search(text, at + PIECE_CHARS)
+        if not m:
+            break
+        yield text[at : m.start()]
+        at = m.start()
     yield text[at:]
 
 
@@ -120,7 +137,7 @@ def round_pairs(p: list[float], w: list[int], seed: int) -> list[float]:
 
 def copies(sizes: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
     """(doc_id, source, tokens, copies) of every document taken at least once."""
-    rates = F.broadcast(planned.where("rate > 0").select("source", "rate"))  # one row per listed source
+    rates, _ = bounded_broadcast(planned.where("rate > 0").select("source", "rate"))
     docs = sizes.where("tokens > 0").join(rates, "source").select("doc_id", "source", "tokens", F.floor("rate").cast("bigint").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"))
     n = sizes.count()
     width = max(1, -(-n // BUCKET_DOCS))

@@ -72,6 +72,27 @@ def test_offsets_in_plain_text(spark):
     assert text[got.start : got.end].rstrip(".") == inner.rstrip(".")
 
 
+def test_offsets_in_html_and_after_letters_that_grow(spark):
+    _, _, items = world(2)
+    inner = items[3].split()[12:40]
+    html = "From: a\nContent-Type: text/html\n\n<p>İİİİİ some <b>words</b></p><p>" + " <i>x</i> ".join([" ".join(inner[:14]), " ".join(inner[14:])]) + "</p>"
+    plain = "From: a\n\nİİİİİ it’s here: " + " ".join(inner) + " and more"
+    docs = spark.createDataFrame([(1, html, None), (2, plain, None)], DOCS)
+    got = {r.doc_id: (r.start, r.end) for r in L.matches(docs, spark.createDataFrame([(3, items[3], None)], ITEMS), "doc_id", "text", "item_id", "item_text").collect()}
+    for i, raw in ((1, html), (2, plain)):
+        cut = raw[got[i][0] : got[i][1]]
+        assert cut.startswith(inner[0]) and cut.rstrip(".").endswith(inner[-1].rstrip("."))
+
+
+def test_many_shared_openings_and_a_repeated_passage(spark):
+    """Instructions of more than forty words are skipped whole; a text that repeats a passage stays linear."""
+    opening = " ".join(f"w{i}x" for i in range(60))
+    items = [(i, f"{opening} " + " ".join(f"i{i}n{k}" for k in range(30)), None) for i in range(5)]
+    docs = [(1, opening, None), (2, " ".join(items[2][1].split()[60:]) + " end", None), (3, " ".join(items[1][1].split()[60:] * 400), None)]
+    got = L.matches(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), "doc_id", "text", "item_id", "item_text").select("doc_id", "item_id").distinct().collect()
+    assert {tuple(r) for r in got} == {(2, 2), (3, 1)}
+
+
 def test_empty_tables_and_changed_tables(spark, tables, small, rows):
     names = ["documents", "eval_items"]
     want = rows(L.found(spark, small))

@@ -56,9 +56,14 @@ def test_nothing_to_mix(spark):
     assert M.copies(some, M.plan(some, spark.createDataFrame([], TARGETS))).count() == 0
 
 
-def test_long_text_is_cut_without_loss():
-    text = "word " * 100_000 + "x" * 450_000
-    assert "".join(M.pieces(text)) == text and max(map(len, M.pieces(text))) <= M.PIECE_CHARS
+def test_long_text_is_cut_without_loss(monkeypatch):
+    """Pieces give the text back, and the tokens of the whole; a stretch without a boundary is not cut."""
+    monkeypatch.setattr(M, "PIECE_CHARS", 50)
+    r = random.Random(4)
+    texts = ["word " * 40 + "x" * 450 + " end", "\n\n  two   blanks\t" * 30, "it's 12 o'clock -- don't " * 30, "".join(r.choice("ab 'é1\n.") for _ in range(3_000)), "", "y" * 500]
+    assert all("".join(M.pieces(t)) == t for t in texts) and len(list(M.pieces(texts[2]))) > 5
+    encode = M.encoder(M.TOKENIZER)
+    assert [[t for p in M.pieces(text) for t in encode(p)] for text in texts] == [encode(text) for text in texts]
 
 
 def test_found_tables(spark, tables, small, rows):
