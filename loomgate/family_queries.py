@@ -6,28 +6,32 @@ contract, lineitem the child without a unique key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomgate.functions.expressions import EXTRACTED, INGESTED, deep_counter, first_key, iso_timestamp, json_counter, log_counter, safe_name, squeezed, table_key_name
+from loomgate.functions.expressions import EXTRACTED, INGESTED, TOTAL, counters, deep_counter, first_key, hex_text, iso_timestamp, json_counter, log_counter, parse_flag, parse_ids, safe_name, squeezed, table_key_name
 from loomgate.functions.types import spark_type
 from loomgate.operators import coerce, estimate, filters, jobs, state, usage, validate
 from loomgate.operators.rekey import RangeAllocator, Rekeyer, created_mapping, entity_metadata, mapping, rewrite
-from loomgate.plans.hierarchy import Edge, Hierarchy
-from loomgate.plans.matching import match_columns
-from loomgate.sources.lake import delimited_rows, upserted
-
-ORDER_FAMILY = Hierarchy.parse("""
-0|region|r_regionkey||
-0|part|p_partkey||
-1|nation|n_nationkey|n_regionkey>region|
-2|customer|c_custkey|c_nationkey>nation|
-2|supplier|s_suppkey|s_nationkey>nation|
-3|orders|o_orderkey|o_custkey>customer|
-4|lineitem|l_orderkey|l_orderkey>orders,l_partkey>part,l_suppkey>supplier|
-""")
+from loomgate.plans.hierarchy import Edge, Hierarchy, Table
+from loomgate.plans.matching import match_tables
+from loomgate.plans import mapping as map_files
+from loomgate.runtime import shared_path
+from loomgate.sources.lake import Lake, delimited_rows, footer_stats, upserted
+
+ORDER_FAMILY = Hierarchy([
+    Table("region", 0, "r_regionkey"),
+    Table("part", 0, "p_partkey"),
+    Table("nation", 1, "n_nationkey", {"n_regionkey": "region"}),
+    Table("customer", 2, "c_custkey", {"c_nationkey": "nation"}),
+    Table("supplier", 2, "s_suppkey", {"s_nationkey": "nation"}),
+    Table("orders", 3, "o_orderkey", {"o_custkey": "customer"}),
+    Table("lineitem", 4, "l_orderkey", {"l_orderkey": "orders", "l_partkey": "part", "l_suppkey": "supplier"}),
+])
 IDS = [3, 14, 15, 92, 65, 35, 89, 79]
 IDS_SQL = ", ".join(map(str, IDS))
 NATIONS = [2, 7]
@@ -162,7 +166,7 @@ SELECT n.new_sid AS locationsid, coalesce(c.new_sid, loc.contractsid) AS contrac
 FROM loc JOIN n USING (locationsid) LEFT JOIN c ON loc.contractsid = c.contractsid LEFT JOIN n p ON loc.parentlocationsid = p.locationsid""")
 def rekey_self_reference(spark, d):
     """The family's own tables: tree kept, external column untouched."""
-    r = Rekeyer(Hierarchy.parse(), RangeAllocator())
+    r = Rekeyer(Hierarchy.family(), RangeAllocator())
     out = r.run({"tcontract": t(spark, d, "tcontract"), "tlocation": t(spark, d, "tlocation")})
     return out["tlocation"].select("locationsid", "contractsid", "parentlocationsid", "geographysid")
 
@@ -194,13 +198,18 @@ def fk_orphans(spark, d):
     return validate.orphan_counts(tables, [Edge("orders", "o_custkey", "customer", "c_custkey"), Edge("lineitem", "l_orderkey", "orders", "o_orderkey")])
 
 
-@query("""WITH a AS (SELECT 'nation' AS table_name, count(*) AS cnt FROM nation UNION ALL SELECT 'region', count(*) FROM region UNION ALL SELECT 'customer', count(*) FROM customer),
-e AS (SELECT * FROM (VALUES ('nation', 25), ('region', 6), ('part', 1)) x(table_name, expected))
+_COUNTS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS cnt FROM {n}" for n in ORDER_FAMILY.order())
+
+
+@query(f"""WITH a AS ({_COUNTS}), e AS (SELECT table_name, cnt + CASE table_name WHEN 'region' THEN 1 ELSE 0 END AS expected FROM a WHERE table_name <> 'nation' UNION ALL SELECT 'lost', 1)
 SELECT coalesce(e.table_name, a.table_name) AS table_name, CAST(expected AS BIGINT) AS expected, cnt AS actual,
 CASE WHEN cnt IS NULL THEN 'ERROR' WHEN expected IS NULL THEN 'EXTRA' WHEN cnt = expected THEN 'OK' ELSE 'WARNING' END AS status FROM e FULL JOIN a ON e.table_name = a.table_name""")
 def rowcount_validation(spark, d):
-    expected = spark.createDataFrame([("nation", 25), ("region", 6), ("part", 1)], "table_name string, cnt bigint")
-    return validate.row_counts(expected, filters.count_all(family(spark, d, "nation", "region", "customer")))
+    """Counts of all tables against those of a copy that misstates one, lacks one and has one too many."""
+    actual = filters.count_all(family(spark, d))
+    expected = actual.where("table_name <> 'nation'").withColumn("cnt", F.col("cnt") + F.when(F.col("table_name") == "region", 1).otherwise(0))
+    lost = spark.createDataFrame([("lost", 1)], "table_name string, cnt bigint")
+    return validate.row_counts(expected.unionByName(lost), actual)
 
 
 @query("""SELECT s AS source_rows, CASE WHEN e > 0 THEN e ELSE r END AS lake_rows, CASE WHEN s = CASE WHEN e > 0 THEN e ELSE r END THEN 'OK' WHEN CASE WHEN e > 0 THEN e ELSE r END > s THEN 'EXTRA ROWS' ELSE 'DIFF' END AS note
@@ -221,7 +230,7 @@ def table_checksums(spark, d):
 
 @query()
 def file_checksums(spark, d):
-    return validate.file_checksums(spark, f"{d}/nation.parquet")
+    return validate.file_checksums(spark, d).withColumn("path", F.element_at(F.split("path", "/"), -1))
 
 
 # ---- coercion, upsert, delta
@@ -259,14 +268,9 @@ def upsert_orders(spark, d):
     return upserted(o, s, ["o_orderkey"])
 
 
-@query("SELECT * FROM tcontract WHERE loaded_at > TIMESTAMP '2024-10-01 00:00:00'")
-def incremental_delta(spark, d):
-    return t(spark, d, "tcontract").where("loaded_at > timestamp_ntz'2024-10-01 00:00:00'")
-
-
-@query("SELECT concat_ws('|', r_regionkey, r_name) AS value, contains(r_name, '|') AS collides FROM region")
+@query("SELECT concat_ws('|', p_partkey, coalesce(p_name, ''), coalesce(p_brand, ''), coalesce(p_type, ''), p_size) AS value, contains(concat(p_name, p_brand, p_type), '|') AS collides FROM part")
 def delimited_export(spark, d):
-    return delimited_rows(t(spark, d, "region"), "|")
+    return delimited_rows(t(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), "|")
 
 
 # ---- usage
@@ -297,6 +301,25 @@ def sweep_peak_events(spark, d):
     return usage.peak_events(runs(spark, d))
 
 
+@query(f"WITH {_RUNS} SELECT * FROM s WHERE running = (SELECT max(running) FROM s) AND running > 0 ORDER BY ts, delta, run_id LIMIT 5")
+def sweep_first_peak_events(spark, d):
+    return usage.peak_events(runs(spark, d), usage.PEAK_EVENTS)
+
+
+@query(f"WITH {_RUNS} SELECT greatest(4, coalesce(max(running), 0)) AS peak FROM s WHERE run_id < 0")
+def sweep_floor(spark, d):
+    return usage.peak(runs(spark, d).where("run_id < 0"), usage.FLOOR)
+
+
+@query("""SELECT event_id, route, CASE route WHEN 'STANDARD' THEN 'PATH2' WHEN 'BATCH' THEN 'PATH3' ELSE 'PATH1' END AS path, CASE WHEN route IN ('STANDARD', 'BATCH') THEN 16 ELSE 0 END AS cores,
+coalesce(route IN ('STANDARD', 'BATCH'), false) AS liable, user_id % 7200 AS duration_seconds FROM (SELECT *, CASE event_id % 4 WHEN 0 THEN 'STANDARD' WHEN 1 THEN 'BATCH' WHEN 2 THEN 'EXPRESS' END AS route FROM events) WHERE strftime(ts, '%Y-%m') = '2024-01'""")
+def usage_of_month(spark, d):
+    """Usage rows of one billing month, with what their route implies."""
+    e = t(spark, d, "events").select("event_id", F.expr("case event_id % 4 when 0 then 'STANDARD' when 1 then 'BATCH' when 2 then 'EXPRESS' end").alias("route"), F.col("ts").alias("started_at"),
+                                    F.expr("ts + make_dt_interval(0, 0, 0, user_id % 7200)").alias("stopped_at"))
+    return usage.billing_month(usage.usage_rows(e), "2024-01").drop("started_at", "stopped_at", "billing_month")
+
+
 @query(f"WITH {_RUNS} SELECT CAST(sum(cores) AS BIGINT) AS cores FROM runs WHERE b IS NULL")
 def running_cores(spark, d):
     return usage.running_now(runs(spark, d))
@@ -366,7 +389,8 @@ def json_deep_counter(spark, d):
     """Counters nested in objects, arrays and JSON held as text."""
     e = t(spark, d, "events")
     doc = F.concat(F.lit('{"run":[{"Records_Ingested":"'), F.col("event_id"), F.lit('"},{"detail":"{\\"rows-extracted\\": '), F.when(F.col("event_id") % 2 == 0, F.col("user_id").cast("string")).otherwise("null"), F.lit('}"}]}'))
-    return e.select("event_id", deep_counter(doc, INGESTED).alias("ingested"), deep_counter(doc, EXTRACTED).alias("extracted"))
+    found = e.select("event_id", counters({"ingested": INGESTED, "extracted": EXTRACTED}, doc).alias("c"))
+    return found.select("event_id", "c.ingested", "c.extracted")
 
 
 @query("SELECT event_id, CAST(event_id AS INT) AS total, CAST(NULL AS INT) AS ingested FROM events")
@@ -440,7 +464,154 @@ def declared_types(spark, d):
 
 @query()
 def matched_columns(spark, d):
-    """Catalog names against the columns of one delivered table."""
-    target = [(r["column_name"], r["sql_type"]) for r in t(spark, d, "column_catalog").orderBy("catalog_id").collect()]
-    source = [("policy_inc_dt", "date32"), ("contract_sid", "int64"), ("cntry_code", "string"), ("LossDate", "date32"), ("gross_premium_amt", "decimal128(18, 2)"), ("zzz", "string")]
-    return match_columns(source, target).frame(spark)
+    """The columns each feed delivers against the catalog."""
+    plans, catalog = t(spark, d, "column_plans"), t(spark, d, "column_catalog")
+    source = plans.groupBy(F.col("feed_key").alias("table_key"), F.col("source_name").alias("name")).agg(F.min(F.struct("file_seq", "ordinal", F.col("source_type").alias("kind"))).alias("x"))
+    source = source.select("table_key", (F.col("x.file_seq") * 10_000 + F.coalesce("x.ordinal", F.lit(9_999))).alias("at"), "name", "x.kind")
+    entries = catalog.agg(F.collect_list(F.struct(F.col("catalog_id").cast("int").alias("at"), F.col("column_name").alias("name"), F.col("sql_type").alias("kind"))).alias("entries"))
+    target = source.select("table_key").distinct().crossJoin(F.broadcast(entries)).select("table_key", F.inline("entries"))  # one row: the fixed catalog
+    return match_tables(source, target).drop("source_at", "target_at")
+
+
+# ---- the lake, through its operators
+
+
+def _lake(spark):
+    return Lake(spark, shared_path(spark, "lake"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 1")
+def lake_incremental(spark, d):
+    """The rows of the second of two appends."""
+    lake, o = _lake(spark), t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    lake.create("ns.orders", o.schema)
+    lake.append("ns.orders", o.where("o_orderkey % 3 = 0"))
+    since = lake.version("ns.orders")
+    lake.append("ns.orders", o.where("o_orderkey % 3 = 1"))
+    return lake.read("ns.orders", "incremental", since)
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -1 ELSE o_custkey END AS o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 'late' END AS note FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey + 10000000, o_custkey, 'new' FROM orders WHERE o_orderkey % 500 = 1""")
+def lake_lifecycle(spark, d):
+    """Create, append, overwrite, add a column, upsert; then a full scan."""
+    lake, o = _lake(spark), t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    lake.create_namespace("ns")
+    lake.create("ns.orders", o.schema)
+    lake.append("ns.orders", o)
+    lake.overwrite("ns.orders", o.where("o_orderkey % 2 = 0"))
+    lake.overwrite("ns.orders", o.limit(0))  # an empty input leaves the old rows
+    lake.add_columns("ns.orders", [T.StructField("note", T.StringType())])
+    changed = o.where("o_orderkey % 10 = 0").select("o_orderkey", F.lit(-1).cast("bigint").alias("o_custkey"), F.lit("late").alias("note"))
+    added = o.where("o_orderkey % 500 = 1").select((F.col("o_orderkey") + 10_000_000).alias("o_orderkey"), "o_custkey", F.lit("new").alias("note"))
+    lake.upsert("ns.orders", changed.unionByName(added), ["o_orderkey"])
+    return lake.read("ns.orders")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey IN (2, 7)")
+def lake_filtered_scan(spark, d):
+    lake, c = _lake(spark), t(spark, d, "customer")
+    lake.create("ns.customer", c.schema, ["c_mktsegment"])
+    lake.append("ns.customer", c)
+    return lake.scan("ns.customer", ["c_custkey", "c_name"], "c_mktsegment = 'BUILDING' and c_nationkey in (2, 7)")
+
+
+@query("SELECT 'ns.customer' AS table_name, true AS found, 1 AS probe UNION ALL SELECT 'ns.empty', false, 0 UNION ALL SELECT 'ns.none', false, 0")
+def lake_probe(spark, d):
+    """Which tables have rows, among those listed and one that does not exist."""
+    lake, c = _lake(spark), t(spark, d, "customer")
+    lake.create("ns.customer", c.schema)
+    lake.create("ns.empty", c.schema)
+    lake.append("ns.customer", c)
+    return spark.createDataFrame([(n, *lake.has_rows(n)) for n in [*lake.list_tables("ns"), "ns.none"]], "table_name string, found boolean, probe int")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey < 1000")
+def lake_scan_with_fallback(spark, d):
+    """One folder's key is text: the filtered scan fails, the casting one does not."""
+    lake, o = _lake(spark), t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    lake.create("ns.orders", o.schema)
+    lake.append("ns.orders", o.where("o_orderkey % 2 = 0"))
+    folder = f"v-{uuid.uuid4().hex}"
+    o.where("o_orderkey % 2 = 1").withColumn("o_orderkey", F.col("o_orderkey").cast("string")).write.parquet(f"{lake._dir('ns.orders')}/{folder}")
+    state = lake._state("ns.orders")
+    lake._commit("ns.orders", lake._last("ns.orders") + 1, state | {"folders": [*state["folders"], folder]})
+    return lake.scan_with_fallback("ns.orders", "o_orderkey < 1000")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}.parquet' AS file, count(*) AS rows FROM {n}" for n in ORDER_FAMILY.order()))
+def file_footers(spark, d):
+    out = None
+    for n in ORDER_FAMILY.order():
+        one = footer_stats(t(spark, d, n)).groupBy(F.lit(f"{n}.parquet").alias("file")).agg(F.sum("rows").alias("rows"))
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+@query(f"""SELECT 'customer' AS table_name, 'direct' AS strategy, count(*) AS cnt FROM customer WHERE c_custkey IN ({IDS_SQL}) UNION ALL SELECT 'orders', 'path', count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey IN ({IDS_SQL})
+UNION ALL SELECT 'lineitem', 'path', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_custkey IN ({IDS_SQL})
+UNION ALL SELECT 'region', 'reference', count(*) FROM region UNION ALL SELECT 'nation', 'reference', count(*) FROM nation UNION ALL SELECT 'part', 'skip', 0 UNION ALL SELECT 'supplier', 'skip', 0""")
+def picked_counts(spark, d):
+    return filters.picked_counts(ORDER_FAMILY, family(spark, d), {"customer": "c_custkey"}, IDS, ("region", "nation"))
+
+
+@query(f"""WITH m(table_name, matched, columns) AS (SELECT 'customer', count(*), 5 FROM customer WHERE c_custkey IN ({IDS_SQL}) UNION ALL SELECT 'orders', count(*), 6 FROM orders WHERE o_custkey IN ({IDS_SQL})
+UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey IN ({IDS_SQL}) UNION ALL SELECT 'part', 0, 6)
+SELECT table_name, matched, CAST(matched * columns * 2 * 28 AS BIGINT) AS estimated_bytes FROM m""")
+def estimate_from_tables(spark, d):
+    """Bytes per table from counts over the real tables and their columns."""
+    tables = family(spark, d, "customer", "orders", "lineitem", "part")
+    counted = filters.picked_counts(ORDER_FAMILY, tables, {"customer": "c_custkey"}, IDS)
+    widths = spark.createDataFrame([(n, len(f.columns)) for n, f in tables.items()], "table_name string, columns int")
+    stats = counted.join(widths, "table_name").select("table_name", F.col("cnt").alias("matched"), F.lit(0).cast("bigint").alias("total_rows"), F.lit(0).cast("bigint").alias("total_bytes"), "columns")
+    return estimate.table_bytes(stats)
+
+
+# ---- mapping and text helpers
+
+
+@query("SELECT c_custkey AS CUST_KEY, c_name AS CName, c_acctbal AS \"C_AcctBal\" FROM customer")
+def mapped_customer(spark, d):
+    """Columns matched to a target's names and projected."""
+    c = t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment").withColumnRenamed("c_custkey", "cust_key")
+    entry = map_files.make_entry("lake", "customer", c, [("C_AcctBal", "FLOAT"), ("CName", "NVARCHAR(50)"), ("CUST_KEY", "BIGINT"), ("Zeitraum", "DATE")])
+    return map_files.project(c, entry)
+
+
+@query("SELECT 'region' AS table_name, 'CREATE TABLE [dbo].[region] ([RRegionkey] INT NULL, [RName] NVARCHAR(MAX) NULL)' AS ddl UNION ALL SELECT 'supplier', 'CREATE TABLE [dbo].[supplier] ([SSuppkey] BIGINT NULL, [SName] NVARCHAR(MAX) NULL, [SNationkey] INT NULL, [SAcctbal] FLOAT NULL)'")
+def create_statements(spark, d):
+    one = lambda n: map_files.create_table_ddl(map_files.make_entry("lake", n, t(spark, d, n), None))
+    return spark.createDataFrame([(n, one(n)) for n in ("region", "supplier")], "table_name string, ddl string")
+
+
+@query("SELECT p_partkey, sha256(p_name) AS digest, lower(hex(p_name)) AS hex FROM part")
+def text_digests(spark, d):
+    return t(spark, d, "part").select("p_partkey", F.sha2("p_name", 256).alias("digest"), hex_text(F.col("p_name").cast("binary")).alias("hex"))
+
+
+@query("SELECT event_id, lower(trim(f)) IN ('true', '1', 'yes', 'on') AS flag, [event_id, user_id] AS ids FROM (SELECT *, CASE event_id % 5 WHEN 0 THEN ' TRUE' WHEN 1 THEN 'no' WHEN 2 THEN '1' WHEN 3 THEN 'On ' ELSE '' END AS f FROM events)")
+def parsed_options(spark, d):
+    """Flags and id lists (JSON and comma text) as they come in as options."""
+    e = t(spark, d, "events")
+    flag = F.expr("case event_id % 5 when 0 then ' TRUE' when 1 then 'no' when 2 then '1' when 3 then 'On ' else '' end")
+    ids = F.when(F.col("event_id") % 2 == 0, F.format_string("[%d, \"%d\", \"x\"]", "event_id", "user_id")).otherwise(F.format_string("%d, ,%d", "event_id", "user_id"))
+    return e.select("event_id", parse_flag(flag).alias("flag"), parse_ids(ids).alias("ids"))
+
+
+@query("SELECT event_id, CAST(event_id AS INT) AS total FROM events")
+def json_total_counter(spark, d):
+    doc = F.format_string('{"a": {"total_records": true, "list": [{"Record-Count": "%d"}]}}', "event_id")
+    return t(spark, d, "events").select("event_id", deep_counter(doc, TOTAL).alias("total"))
+
+
+@query("SELECT event_id FROM events WHERE user_id % 2 = 0")
+def same_tenant_rows(spark, d):
+    e = t(spark, d, "events").withColumn("a", F.concat(F.lit(" Tnt-"), "user_id")).withColumn("b", F.concat(F.lit("TNT-"), F.col("user_id") + F.col("user_id") % 2))
+    return e.where(jobs.same_tenant(F.col("a"), F.col("b"))).select("event_id")
+
+
+@query("SELECT o_orderkey, CAST(NULL AS DOUBLE) AS gone, o_custkey, CAST(NULL AS VARCHAR) AS extra FROM orders")
+def coerce_all_null(spark, d):
+    """A column without any value, of unknown type, and one the rows lack."""
+    src = t(spark, d, "orders").select("o_custkey", F.lit(None).alias("gone"), "o_orderkey")
+    return coerce.align(src, spark.createDataFrame([], "o_orderkey bigint, gone double, o_custkey bigint, extra string").schema)

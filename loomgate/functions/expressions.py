@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,26 +66,31 @@ def first_key(value: Column, paths: list[str]) -> Column:
     return F.coalesce(*[F.get_json_object(value, p) for p in paths])
 
 
-def _search(value: object, keys: frozenset, found: list, depth: int = 0) -> None:
-    if found or depth > 100:
-        return
-    if isinstance(value, dict):
-        for k, v in value.items():
-            if re.sub(r"[\W_]+", "", k).lower() in keys and (n := _as_int(v)) is not None:
-                found.append(n)
-                return
-            _search(v, keys, found, depth + 1)
-            if found:
-                return
-    elif isinstance(value, list):
-        for v in value:
-            _search(v, keys, found, depth + 1)
-    elif isinstance(value, str) and value.lstrip()[:1] in ("{", "["):
-        try:
-            inner = json.loads(value)
-        except ValueError:
-            return
-        _search(inner, keys, found, depth + 1)
+def _counts(text: str | None, families: dict[str, frozenset]) -> dict[str, int]:
+    """First counter of each key family in nested JSON, in document order, also in JSON held as text inside it.
+
+    A key that names a counter but holds none is searched like any other.
+    """
+    found: dict[str, int] = {}
+    todo: list = [text]
+    while todo and len(found) < len(families):
+        value = todo.pop()
+        if isinstance(value, str):
+            if value.lstrip()[:1] in ("{", "["):
+                try:
+                    todo.append(json.loads(value))
+                except (ValueError, RecursionError):
+                    pass
+        elif isinstance(value, list):
+            todo += reversed(value)
+        elif isinstance(value, dict):
+            todo += [x for kv in reversed(value.items()) for x in (kv[1], kv)]
+        elif isinstance(value, tuple):  # a field, met before its value is searched
+            key = re.sub(r"[\W_]+", "", value[0]).lower()
+            for name, keys in families.items():
+                if name not in found and key in keys and (n := _as_int(value[1])) is not None:
+                    found[name] = n
+    return found
 
 
 def _as_int(v: object) -> int | None:
@@ -93,22 +98,48 @@ def _as_int(v: object) -> int | None:
         return None
     if isinstance(v, int):
         return v if -(2**31) <= v < 2**31 else None
-    if isinstance(v, str) and re.fullmatch(r"\s*[+-]?\d+\s*", v):
+    if isinstance(v, str) and re.fullmatch(r"\s*[+-]?\d{1,18}\s*", v):
         return _as_int(int(v))
     return None
 
 
+def counters(families: dict[str, Iterable[str]], *texts: Column) -> Column:
+    """Struct of the first counter of each key family in the texts, an earlier text before a later one.
+
+    One Arrow pass: a text is parsed once for all families, and not at all when
+    the texts before it had them.
+    """
+    wanted = {name: frozenset(keys) for name, keys in families.items()}
+
+    @F.arrow_udf(T.StructType([T.StructField(name, T.IntegerType()) for name in wanted]))
+    def search(*columns: pa.Array) -> pa.Array:
+        out = []
+        for row in zip(*[c.to_pylist() for c in columns]):
+            found: dict[str, int] = {}
+            for text in row:
+                open_ = {n: k for n, k in wanted.items() if n not in found}
+                if not open_:
+                    break
+                if text is not None:
+                    found |= _counts(text, open_)
+            out.append({n: found.get(n) for n in wanted})
+        return pa.array(out, pa.struct([(n, pa.int32()) for n in wanted]))
+
+    return search(*texts)
+
+
 def deep_counter(value: Column, keys: Iterable[str]) -> Column:
     """First counter of a key family anywhere in nested JSON, or in JSON held as text inside it."""
-    wanted = frozenset(keys)
+    return counters({"n": keys}, value)["n"]
+
 
-    @F.pandas_udf(T.IntegerType())
-    def search(values: pd.Series) -> pd.Series:
-        def one(text):
-            found: list[int] = []
-            _search(text, wanted, found)
-            return found[0] if found else None
+def parse_flag(value: Column) -> Column:
+    """Whether a text says yes (``true``, ``1``, ``yes``, ``on``, in any case); null and all else say no."""
+    return F.coalesce(F.lower(F.trim(value)).isin("true", "1", "yes", "on"), F.lit(False))
 
-        return values.map(one, na_action="ignore").astype("Int32")
 
-    return search(value)
+def parse_ids(value: Column) -> Column:
+    """Array of ids from a JSON list or comma-separated text; entries that are no whole number drop out, null gives none."""
+    inside = F.regexp_replace(value, r"[\[\]\"'\s]", "")
+    parts = F.transform(F.split(inside, ","), lambda x: x.try_cast("bigint"))
+    return F.coalesce(F.filter(parts, lambda x: x.isNotNull()), F.expr("cast(array() as array<bigint>)"))

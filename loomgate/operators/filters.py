@@ -82,6 +82,28 @@ def count_all(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def picked_counts(hierarchy: Hierarchy, tables: dict[str, DataFrame], roots: dict[str, str], ids: list[int], references: tuple[str, ...] = ()) -> DataFrame:
+    """(table_name, strategy, cnt): rows to move per table, counted as its place in the graph allows.
+
+    ``direct`` by its own entity column, ``path`` over references to a table
+    that has one, ``reference`` whole for the named tables, else ``skip`` with 0.
+    """
+    out = None
+    for name, df in tables.items():
+        path = hierarchy.path(name, set(roots)) if name in hierarchy and name not in roots else None
+        if name in roots:
+            how, one = "direct", df.where(F.col(roots[name]).isin(ids)).agg(F.count(F.lit(1)).alias("cnt"))
+        elif path:
+            how, one = "path", path_count(tables, path, roots[path[-1].parent], ids)
+        elif name in references:
+            how, one = "reference", df.agg(F.count(F.lit(1)).alias("cnt"))
+        else:
+            how, one = "skip", df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("cnt"))
+        one = one.select(F.lit(name).alias("table_name"), F.lit(how).alias("strategy"), "cnt")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 def key_count(df: DataFrame, column: str, value: int | None = None, low: int | None = None, high: int | None = None) -> DataFrame:
     """``cnt`` of rows null-safely equal to a value, or in an inclusive range."""
     keep = F.col(column).eqNullSafe(F.lit(value)) if low is None else F.col(column).between(low, high)

@@ -22,14 +22,14 @@ import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import islice
 from pathlib import Path
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomgate.plans.hierarchy import Hierarchy, Table
-from loomgate.runtime import stage
+from loomgate.runtime import TASK_ROWS, bounded_broadcast, running_sum, salted_join, stage
 
 
 class RangeAllocator:
@@ -69,28 +69,28 @@ def find_column(df: DataFrame, name: str) -> str | None:
     return next((c for c in df.columns if c.lower() == name.lower()), None)
 
 
-def mapping(df: DataFrame, key: str, start: int) -> DataFrame:
+def mapping(df: DataFrame, key: str, start: int, task_rows: int = TASK_ROWS) -> DataFrame:
     """(old_sid, new_sid): ``start`` plus the last row index of each key, in key order."""
     counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("bigint").alias("old_sid")).agg(F.count(F.lit(1)).alias("n"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The range of a key is written down with it: later reads cannot disagree.
-    ranged = stage(counts.repartitionByRange(n, "old_sid").withColumn("__range", F.spark_partition_id()), "rekey-ranges")
-    totals = ranged.groupBy("__range").agg(F.sum("n").alias("all"))
-    before = totals.withColumn("before", F.sum("all").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1))).select("__range", F.coalesce("before", F.lit(0)).alias("before"))
-    upto = F.sum("n").over(W.partitionBy("__range").orderBy("old_sid").rowsBetween(W.unboundedPreceding, 0))
-    # ``before`` has one row per shuffle partition.
-    return ranged.withColumn("upto", upto).join(F.broadcast(before), "__range").select("old_sid", (F.lit(start) + F.col("before") + F.col("upto") - 1).cast("bigint").alias("new_sid"))
+    return running_sum(counts, [], ["old_sid"], "n", "upto", task_rows).select("old_sid", (F.lit(start) + F.col("upto") - 1).cast("bigint").alias("new_sid"))
 
 
-def rewrite(df: DataFrame, columns: dict[str, DataFrame]) -> DataFrame:
-    """Each column replaced through its mapping; misses and nulls stay."""
-    names = list(df.columns)
+def rewrite(df: DataFrame, columns: dict[str, DataFrame], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Each column replaced through its mapping; misses and nulls stay.
+
+    A mapping of bounded size is broadcast and moves no row. Beyond that rows
+    are joined by shuffle, those of a null reference set apart and those of a
+    hot parent salted.
+    """
     out = df
     for i, (column, m) in enumerate(columns.items()):
-        old, new = f"__old{i}", f"__new{i}"
-        out = out.join(m.select(F.col("old_sid").alias(old), F.col("new_sid").alias(new)), F.col(f"`{column}`").cast("bigint") == F.col(old), "left")
-        out = out.withColumn(column, F.coalesce(F.col(new), F.col(f"`{column}`").cast("bigint")).cast(df.schema[column].dataType if df.schema[column].dataType.typeName() != "void" else "bigint")).drop(old, new)
-    return out.select(*[F.col(f"`{n}`") for n in names])
+        old, new, kind = f"__old{i}", f"__new{i}", df.schema[column].dataType
+        ids, small = bounded_broadcast(m.select(F.col("old_sid").alias(old), F.col("new_sid").alias(new)))
+        keyed = out.withColumn(old, F.col(f"`{column}`").cast("bigint"))
+        out = keyed.join(ids, old, "left") if small else salted_join(keyed, ids, old, task_rows=task_rows)
+        out = out.withColumn(column, F.coalesce(F.col(new), F.col(old)).cast(kind if kind.typeName() != "void" else "bigint")).drop(old, new)
+    return out.select(*[F.col(f"`{n}`") for n in df.columns])
 
 
 class Rekeyer:
@@ -186,11 +186,20 @@ def entity_metadata(df: DataFrame | None, id_column: str, name_column: str) -> D
     return df.where(F.col(name_column).isNotNull()).select(F.col(id_column).alias("old_sid"), F.col(name_column).alias("name")).crossJoin(F.broadcast(total))  # one row
 
 
-def created_mapping(entities: DataFrame, create: Callable[[list[str]], dict[str, int]], single: bool = False) -> DataFrame | int:
-    """Map each old entity, by name, to what ``create`` made of it; ``single`` gives the first id for all."""
-    names = [r["name"] for r in entities.select("name").distinct().orderBy("name").collect()]  # entities, not records
-    made = create(names)
-    if single:
-        return next(iter(made.values()))
-    table = entities.sparkSession.createDataFrame(list(made.items()), "name string, new_sid bigint")
-    return entities.join(F.broadcast(table), "name").select("name", F.col("old_sid").cast("bigint").alias("old_sid"), "new_sid")
+def created_mapping(entities: DataFrame, create: Callable[[list[str]], dict[str, int]], single: bool = False, batch: int = 10_000) -> DataFrame | int:
+    """Map each old entity, by name, to what ``create`` made of it; ``single`` gives the first id for all.
+
+    Names are handed to ``create`` in order, so many at a time, as the driver
+    reads them partition by partition; what it made is joined back.
+    """
+    names = (r["name"] for r in entities.select("name").distinct().orderBy("name").toLocalIterator())
+    spark, made = entities.sparkSession, None
+    schema = "name string, new_sid bigint"
+    while group := list(islice(names, batch)):
+        ids = create(group)
+        if single:
+            return next(iter(ids.values()))
+        part = spark.createDataFrame(list(ids.items()), schema)
+        made = part if made is None else made.unionByName(part)
+    ids, _ = bounded_broadcast(stage(spark.createDataFrame([], schema) if made is None else made, "created"))
+    return entities.join(ids, "name").select("name", F.col("old_sid").cast("bigint").alias("old_sid"), "new_sid")

@@ -3,29 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomgate.runtime import stage
+from loomgate.runtime import TASK_ROWS, running_sum, stage
 
 
-def concurrency(runs: DataFrame, start: str = "started_at", stop: str = "stopped_at", weight: str = "cores", bucket: str = "day") -> DataFrame:
+# Path label and cores per route; routes without cores are not liable.
+PATHS = {"EXPRESS": "PATH1", "STANDARD": "PATH2", "BATCH": "PATH3"}
+LIABLE_CORES = {"STANDARD": 16, "BATCH": 16}
+#: Least peak that is reported, and how many of the events at the peak.
+FLOOR, PEAK_EVENTS = 4, 5
+
+
+def usage_rows(runs: DataFrame, route: str = "route", start: str = "started_at", stop: str = "stopped_at") -> DataFrame:
+    """Runs with ``path``, ``cores``, ``liable``, ``billing_month`` and ``duration_seconds`` of their route and times.
+
+    An unknown or null route is the first path without cores; a null start has
+    no month, a null stop no duration.
+    """
+    table = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col(route)]
+    return runs.withColumns({
+        "path": F.coalesce(table(PATHS), F.lit(PATHS["EXPRESS"])), "cores": F.coalesce(table(LIABLE_CORES), F.lit(0)), "liable": F.coalesce(F.col(route).isin(*LIABLE_CORES), F.lit(False)),
+        "billing_month": F.date_format(start, "yyyy-MM"), "duration_seconds": duration_seconds(F.col(start), F.col(stop)),
+    })
+
+
+def billing_month(rows: DataFrame, month: str) -> DataFrame:
+    """The usage rows of a month, numbers as integers and doubles; the filter reaches the scan."""
+    kept = rows.where(F.col("billing_month") == month)
+    plain = {f.name: F.col(f"`{f.name}`").cast("bigint" if f.dataType.scale == 0 else "double") for f in rows.schema.fields if f.dataType.typeName() == "decimal"}
+    return kept.withColumns(plain) if plain else kept
+
+
+def concurrency(runs: DataFrame, start: str = "started_at", stop: str = "stopped_at", weight: str = "cores", task_rows: int = TASK_ROWS) -> DataFrame:
     """(ts, delta, run columns, running) at each event, in order of time with ends before starts.
 
-    The running sum is split by calendar bucket: totals per bucket are summed
-    over the (few) buckets, and each bucket sums its own events from there, so
-    no task holds the whole history. Runs without a start are skipped, without
-    an end stay open.
+    The running sum is made inside ranges of time and offset by the ranges
+    before, so no task holds the whole history, nor all of a busy day. Runs
+    without a start are skipped, without an end stay open.
     """
     rest = [c for c in runs.columns if c not in (start, stop, weight)]
     opened = runs.where(F.col(start).isNotNull()).withColumn("__w", F.col(weight).cast("bigint"))
-    events = opened.select(F.col(start).alias("ts"), F.col("__w").alias("delta"), *rest).unionByName(
-        opened.where(F.col(stop).isNotNull()).select(F.col(stop).alias("ts"), (-F.col("__w")).alias("delta"), *rest))
-    events = events.withColumn("__b", F.date_trunc(bucket, "ts"))
-    totals = events.groupBy("__b").agg(F.sum("delta").alias("t"))
-    before = totals.withColumn("before", F.sum("t").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)))  # one row per bucket of time
-    within = F.sum("delta").over(W.partitionBy("__b").orderBy("ts", "delta", *rest).rowsBetween(W.unboundedPreceding, 0))
-    return events.join(before.select("__b", F.coalesce("before", F.lit(0)).alias("before")), "__b").withColumn("running", F.col("before") + within).drop("__b", "before")
+    edges = F.array(F.struct(F.col(start).alias("ts"), F.col("__w").alias("delta")), F.struct(F.col(stop).alias("ts"), (-F.col("__w")).alias("delta")))
+    events = opened.select(F.inline(edges), *rest).where("ts is not null")
+    return running_sum(events, [], ["ts", "delta", *rest], "delta", "running", task_rows, row_by_row=True)
 
 
 def peak(runs: DataFrame, least: int = 0, **columns) -> DataFrame:
@@ -33,11 +54,12 @@ def peak(runs: DataFrame, least: int = 0, **columns) -> DataFrame:
     return concurrency(runs, **columns).agg(F.greatest(F.coalesce(F.max("running"), F.lit(0)), F.lit(least)).cast("bigint").alias("peak"))
 
 
-def peak_events(runs: DataFrame, **columns) -> DataFrame:
-    """The events at which the peak stands."""
+def peak_events(runs: DataFrame, most: int | None = None, **columns) -> DataFrame:
+    """The events at which the peak stands, or the first so many of them."""
     c = stage(concurrency(runs, **columns), "usage-events")
     top = c.agg(F.max("running").alias("__peak"))
-    return c.join(F.broadcast(top), F.col("running") == F.col("__peak")).where("running > 0").drop("__peak")  # one row
+    at = c.join(F.broadcast(top), F.col("running") == F.col("__peak")).where("running > 0").drop("__peak")  # one row
+    return at if most is None else at.orderBy("ts", "delta", *[x for x in at.columns if x not in ("ts", "delta", "running")]).limit(most)
 
 
 def per_tenant(runs: DataFrame) -> DataFrame:

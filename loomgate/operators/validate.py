@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,9 +64,26 @@ def unreadable_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def file_checksums(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, length, sha256) of every file below a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """(path, length, sha256) of every file below a folder, read as a stream: files of any size."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import unquote
+
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for path, length in zip(batch["path"], batch["length"]):
+                store, at = fs.FileSystem.from_uri(unquote(path))
+                digest = hashlib.sha256()
+                with store.open_input_stream(at) as f:
+                    while chunk := f.read(8 << 20):
+                        digest.update(chunk)
+                out.append((path, length, digest.hexdigest()))
+            yield pd.DataFrame(out, columns=["path", "length", "sha256"])
+
+    return files.mapInPandas(run, "path string, length bigint, sha256 string")
 
 
 def checksum_mismatches(actual: DataFrame, expected: DataFrame) -> DataFrame:

@@ -3,64 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
-from dataclasses import dataclass, field
-
-# Level, table, primary key, foreign keys (column>parent), columns
-# that point outside the family. ``self`` is the table itself.
-FAMILY = """
-0|tCompany|CompanySID|DefaultExposureSetSID>tExposureSet|BusinessUnitSID
-0|tPortfolioFilter|PortfolioFilterSID||
-0|tAppliesToArea|AppliesToAreaSID||
-0|tReinsuranceEPCurveSet|ReinsuranceEPCurveSetSID|CompanySID>tCompany|CurrencyExchangeRateSetSID,ReinsuranceEventSetSID,ULFCurrencyExchangeRateSetSID
-0|tSIDControl|TableSID||
-1|tExposureSet|ExposureSetSID|CompanySID>tCompany|
-1|tReinsuranceProgram|ReinsuranceProgramSID|CompanySID>tCompany|BusinessUnitSID,CurrencyExchangeRateSetSID,ProjectSID
-1|tPortfolio|PortfolioSID|PortfolioFilterSID>tPortfolioFilter|BusinessUnitSID
-1|tReinsuranceEPCurve|ReinsuranceEPCurveSID|ReinsuranceEPCurveSetSID>tReinsuranceEPCurveSet,AppliesToAreaSID>tAppliesToArea|
-1|tCompanyCatBondImportHistory|CompanyCatBondImportHistorySID|CompanySID>tCompany|
-1|tCompanyUDCClassification_Xref|CompanySID|CompanySID>tCompany|UDCClassificationSID
-2|tContract|ContractSID|ExposureSetSID>tExposureSet|
-2|tReinsuranceTreaty|ReinsuranceTreatySID|ReinsuranceProgramSID>tReinsuranceProgram,AppliesToAreaSID>tAppliesToArea|
-2|tCompanyLossAssociation|CompanyLossAssociationSID|CompanySID>tCompany,ParentCompanyLossAssociationSID>self|CompanyLossSetSID,SourceBusinessUnitSID,SqlInstanceSID
-2|tReinsuranceProgramCoverage|ReinsuranceProgramSID|ReinsuranceProgramSID>tReinsuranceProgram|
-2|tReinsuranceProgramEPAdjustment|ReinsuranceProgramSID|ReinsuranceProgramSID>tReinsuranceProgram|
-2|tReinsuranceProgramEPAdjustmentPoints|ReinsuranceProgramSID|ReinsuranceProgramSID>tReinsuranceProgram|
-2|tReinsuranceProgramJapanCFLRatio|ReinsuranceProgramSID|ReinsuranceProgramSID>tReinsuranceProgram|GeographySID,ReinsuranceEventSetSID
-2|tReinsuranceProgramSourceInure|ReinsuranceProgramSubjectSID|ReinsuranceProgramSourceInureSID>tReinsuranceProgram,ReinsuranceProgramSubjectSID>tReinsuranceProgram|
-2|tReinsuranceProgramTargetXRef|ReinsuranceProgramSID|ReinsuranceProgramSID>tReinsuranceProgram,ExposureSetSID>tExposureSet,CompanyLossAssociationSID>tCompanyLossAssociation|YearSID
-2|tCatBondAttributeValue|ReinsuranceProgramSID|ReinsuranceProgramSID>tReinsuranceProgram|CatBondAttributeSID
-2|tReinsAppliesToExp|ReinsAppliesToExpSID|ExposureSetSID>tExposureSet|ReinsTargetSID
-2|tReinsuranceExposureAdjustmentFactor|ReinsuranceExposureAdjustmentFactorSID|ExposureSetSID>tExposureSet|
-2|tAggregateExposure|AggregateExposureSID|ExposureSetSID>tExposureSet|GeographySID
-2|tReinsuranceEPCurveAdjustmentPoint|ReinsuranceEPCurveSID|ReinsuranceEPCurveSID>tReinsuranceEPCurve|
-3|tLocation|LocationSID|ContractSID>tContract,ExposureSetSID>tExposureSet,ParentLocationSID>self|GeographySID
-3|tLayer|LayerSID|ContractSID>tContract|
-3|tStepFunction|StepFunctionSID|ContractSID>tContract|
-3|tAppliesToEventFilter|AppliesToEventFilterSID|ReinsuranceTreatySID>tReinsuranceTreaty|
-3|tReinsuranceTreatyReinstatement|ReinsuranceTreatyReinstatementSID|ReinsuranceTreatySID>tReinsuranceTreaty|
-3|tReinsuranceTreatySavedResults|ReinsuranceTreatySavedResultsID|ReinsuranceTreatySID>tReinsuranceTreaty|CurrencyExchangeRateSetSID,EventBasedAdjFactorSetSID
-3|tReinsuranceTreatyTerrorismOption|ReinsuranceTreatySID|ReinsuranceTreatySID>tReinsuranceTreaty|
-3|tReinsuranceTreatyUDCClassification_Xref|ReinsuranceTreatySID|ReinsuranceTreatySID>tReinsuranceTreaty|UDCClassificationSID
-3|tPortfolioReinsuranceTreaty|PortfolioSID|PortfolioSID>tPortfolio,ReinsuranceTreatySID>tReinsuranceTreaty|
-3|tCLFCatalog|CLFCatalogSID|CompanyLossAssociationSID>tCompanyLossAssociation|
-3|tCompanyLossMarketShare|CompanyLossMarketShareSID|CompanyLossAssociationSID>tCompanyLossAssociation|CountrySID,GeographySID
-3|tCompanyCLASizes|CompanySID|CompanySID>tCompany|CompanyLossSetSID
-4|tLayerCondition|LayerConditionSID|ContractSID>tContract,LayerSID>tLayer,ParentLayerConditionSID>self|
-4|tLocTerm|LocTermSID|ContractSID>tContract,LocationSID>tLocation|
-4|tLocFeature|LocationSID|LocationSID>tLocation|
-4|tLocOffshore|LocationSID|LocationSID>tLocation|
-4|tLocParsedAddress|LocationSID|LocationSID>tLocation|
-4|tLocWC|LocationSID|LocationSID>tLocation|
-4|tEngineLocPhysicalProperty|LocationSID|LocationSID>tLocation|
-4|tStepFunctionDetail|StepFunctionSID|StepFunctionSID>tStepFunction|
-4|tAppliesToEventFilterGeoXRef|AppliesToEventFilterSID|AppliesToEventFilterSID>tAppliesToEventFilter|GeographySID
-4|tAppliesToEventFilterLatLong|AppliesToEventFilterSID|AppliesToEventFilterSID>tAppliesToEventFilter|
-4|tAppliesToEventFilterRule|AppliesToEventFilterRuleSID|AppliesToEventFilterSID>tAppliesToEventFilter|
-4|tProgramBusinessCategoryFactor|ContractSID|ContractSID>tContract|
-5|tLayerConditionLocationXref|LayerConditionSID|LayerConditionSID>tLayerCondition,LocationSID>tLocation|
-5|tLocStepFunctionXref|LocationSID|LocationSID>tLocation,StepFunctionSID>tStepFunction|
-5|tAppliesToAreaGeoXRef|AppliesToAreaSID|AppliesToAreaSID>tAppliesToArea|GeographySID
-"""
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -87,6 +30,64 @@ class Table:
         return self.parents.get(self.key, self.name) != self.name
 
 
+# Table, level, primary key, foreign keys (column: parent), columns
+# that point outside the family.
+FAMILY = (
+    Table("tCompany", 0, "CompanySID", {"DefaultExposureSetSID": "tExposureSet"}, ("BusinessUnitSID",)),
+    Table("tPortfolioFilter", 0, "PortfolioFilterSID"),
+    Table("tAppliesToArea", 0, "AppliesToAreaSID"),
+    Table("tReinsuranceEPCurveSet", 0, "ReinsuranceEPCurveSetSID", {"CompanySID": "tCompany"}, ("CurrencyExchangeRateSetSID", "ReinsuranceEventSetSID", "ULFCurrencyExchangeRateSetSID")),
+    Table("tSIDControl", 0, "TableSID"),
+    Table("tExposureSet", 1, "ExposureSetSID", {"CompanySID": "tCompany"}),
+    Table("tReinsuranceProgram", 1, "ReinsuranceProgramSID", {"CompanySID": "tCompany"}, ("BusinessUnitSID", "CurrencyExchangeRateSetSID", "ProjectSID")),
+    Table("tPortfolio", 1, "PortfolioSID", {"PortfolioFilterSID": "tPortfolioFilter"}, ("BusinessUnitSID",)),
+    Table("tReinsuranceEPCurve", 1, "ReinsuranceEPCurveSID", {"ReinsuranceEPCurveSetSID": "tReinsuranceEPCurveSet", "AppliesToAreaSID": "tAppliesToArea"}),
+    Table("tCompanyCatBondImportHistory", 1, "CompanyCatBondImportHistorySID", {"CompanySID": "tCompany"}),
+    Table("tCompanyUDCClassification_Xref", 1, "CompanySID", {"CompanySID": "tCompany"}, ("UDCClassificationSID",)),
+    Table("tContract", 2, "ContractSID", {"ExposureSetSID": "tExposureSet"}),
+    Table("tReinsuranceTreaty", 2, "ReinsuranceTreatySID", {"ReinsuranceProgramSID": "tReinsuranceProgram", "AppliesToAreaSID": "tAppliesToArea"}),
+    Table("tCompanyLossAssociation", 2, "CompanyLossAssociationSID", {"CompanySID": "tCompany", "ParentCompanyLossAssociationSID": "tCompanyLossAssociation"}, ("CompanyLossSetSID", "SourceBusinessUnitSID", "SqlInstanceSID")),
+    Table("tReinsuranceProgramCoverage", 2, "ReinsuranceProgramSID", {"ReinsuranceProgramSID": "tReinsuranceProgram"}),
+    Table("tReinsuranceProgramEPAdjustment", 2, "ReinsuranceProgramSID", {"ReinsuranceProgramSID": "tReinsuranceProgram"}),
+    Table("tReinsuranceProgramEPAdjustmentPoints", 2, "ReinsuranceProgramSID", {"ReinsuranceProgramSID": "tReinsuranceProgram"}),
+    Table("tReinsuranceProgramJapanCFLRatio", 2, "ReinsuranceProgramSID", {"ReinsuranceProgramSID": "tReinsuranceProgram"}, ("GeographySID", "ReinsuranceEventSetSID")),
+    Table("tReinsuranceProgramSourceInure", 2, "ReinsuranceProgramSubjectSID", {"ReinsuranceProgramSourceInureSID": "tReinsuranceProgram", "ReinsuranceProgramSubjectSID": "tReinsuranceProgram"}),
+    Table("tReinsuranceProgramTargetXRef", 2, "ReinsuranceProgramSID", {"ReinsuranceProgramSID": "tReinsuranceProgram", "ExposureSetSID": "tExposureSet", "CompanyLossAssociationSID": "tCompanyLossAssociation"}, ("YearSID",)),
+    Table("tCatBondAttributeValue", 2, "ReinsuranceProgramSID", {"ReinsuranceProgramSID": "tReinsuranceProgram"}, ("CatBondAttributeSID",)),
+    Table("tReinsAppliesToExp", 2, "ReinsAppliesToExpSID", {"ExposureSetSID": "tExposureSet"}, ("ReinsTargetSID",)),
+    Table("tReinsuranceExposureAdjustmentFactor", 2, "ReinsuranceExposureAdjustmentFactorSID", {"ExposureSetSID": "tExposureSet"}),
+    Table("tAggregateExposure", 2, "AggregateExposureSID", {"ExposureSetSID": "tExposureSet"}, ("GeographySID",)),
+    Table("tReinsuranceEPCurveAdjustmentPoint", 2, "ReinsuranceEPCurveSID", {"ReinsuranceEPCurveSID": "tReinsuranceEPCurve"}),
+    Table("tLocation", 3, "LocationSID", {"ContractSID": "tContract", "ExposureSetSID": "tExposureSet", "ParentLocationSID": "tLocation"}, ("GeographySID",)),
+    Table("tLayer", 3, "LayerSID", {"ContractSID": "tContract"}),
+    Table("tStepFunction", 3, "StepFunctionSID", {"ContractSID": "tContract"}),
+    Table("tAppliesToEventFilter", 3, "AppliesToEventFilterSID", {"ReinsuranceTreatySID": "tReinsuranceTreaty"}),
+    Table("tReinsuranceTreatyReinstatement", 3, "ReinsuranceTreatyReinstatementSID", {"ReinsuranceTreatySID": "tReinsuranceTreaty"}),
+    Table("tReinsuranceTreatySavedResults", 3, "ReinsuranceTreatySavedResultsID", {"ReinsuranceTreatySID": "tReinsuranceTreaty"}, ("CurrencyExchangeRateSetSID", "EventBasedAdjFactorSetSID")),
+    Table("tReinsuranceTreatyTerrorismOption", 3, "ReinsuranceTreatySID", {"ReinsuranceTreatySID": "tReinsuranceTreaty"}),
+    Table("tReinsuranceTreatyUDCClassification_Xref", 3, "ReinsuranceTreatySID", {"ReinsuranceTreatySID": "tReinsuranceTreaty"}, ("UDCClassificationSID",)),
+    Table("tPortfolioReinsuranceTreaty", 3, "PortfolioSID", {"PortfolioSID": "tPortfolio", "ReinsuranceTreatySID": "tReinsuranceTreaty"}),
+    Table("tCLFCatalog", 3, "CLFCatalogSID", {"CompanyLossAssociationSID": "tCompanyLossAssociation"}),
+    Table("tCompanyLossMarketShare", 3, "CompanyLossMarketShareSID", {"CompanyLossAssociationSID": "tCompanyLossAssociation"}, ("CountrySID", "GeographySID")),
+    Table("tCompanyCLASizes", 3, "CompanySID", {"CompanySID": "tCompany"}, ("CompanyLossSetSID",)),
+    Table("tLayerCondition", 4, "LayerConditionSID", {"ContractSID": "tContract", "LayerSID": "tLayer", "ParentLayerConditionSID": "tLayerCondition"}),
+    Table("tLocTerm", 4, "LocTermSID", {"ContractSID": "tContract", "LocationSID": "tLocation"}),
+    Table("tLocFeature", 4, "LocationSID", {"LocationSID": "tLocation"}),
+    Table("tLocOffshore", 4, "LocationSID", {"LocationSID": "tLocation"}),
+    Table("tLocParsedAddress", 4, "LocationSID", {"LocationSID": "tLocation"}),
+    Table("tLocWC", 4, "LocationSID", {"LocationSID": "tLocation"}),
+    Table("tEngineLocPhysicalProperty", 4, "LocationSID", {"LocationSID": "tLocation"}),
+    Table("tStepFunctionDetail", 4, "StepFunctionSID", {"StepFunctionSID": "tStepFunction"}),
+    Table("tAppliesToEventFilterGeoXRef", 4, "AppliesToEventFilterSID", {"AppliesToEventFilterSID": "tAppliesToEventFilter"}, ("GeographySID",)),
+    Table("tAppliesToEventFilterLatLong", 4, "AppliesToEventFilterSID", {"AppliesToEventFilterSID": "tAppliesToEventFilter"}),
+    Table("tAppliesToEventFilterRule", 4, "AppliesToEventFilterRuleSID", {"AppliesToEventFilterSID": "tAppliesToEventFilter"}),
+    Table("tProgramBusinessCategoryFactor", 4, "ContractSID", {"ContractSID": "tContract"}),
+    Table("tLayerConditionLocationXref", 5, "LayerConditionSID", {"LayerConditionSID": "tLayerCondition", "LocationSID": "tLocation"}),
+    Table("tLocStepFunctionXref", 5, "LocationSID", {"LocationSID": "tLocation", "StepFunctionSID": "tStepFunction"}),
+    Table("tAppliesToAreaGeoXRef", 5, "AppliesToAreaSID", {"AppliesToAreaSID": "tAppliesToArea"}, ("GeographySID",)),
+)
+
+
 class Hierarchy:
     """Tables by name (case-insensitive lookup), with their foreign keys."""
 
@@ -95,13 +96,9 @@ class Hierarchy:
         self._by_lower = {t.name.lower(): t for t in tables}
 
     @classmethod
-    def parse(cls, text: str = FAMILY) -> Hierarchy:
-        out = []
-        for line in text.strip().splitlines():
-            level, name, key, refs, external = line.split("|")
-            parents = dict(r.split(">") for r in refs.split(",") if r)
-            out.append(Table(name, int(level), key, {c: name if p == "self" else p for c, p in parents.items()}, tuple(x for x in external.split(",") if x)))
-        return cls(out)
+    def family(cls) -> Hierarchy:
+        """The supplied family of tables."""
+        return cls([replace(t, parents=dict(t.parents)) for t in FAMILY])
 
     @classmethod
     def discover(cls, columns: dict[str, list[str]], skip: tuple[str, ...] = ("exposuresetsid",)) -> Hierarchy:

@@ -154,20 +154,36 @@ def in_ranges(df: DataFrame, by: list[str], order: list[str], task_rows: int = T
     return stage(rows.repartitionByRange(n, *by, *order).withColumn("__range", F.spark_partition_id()), "ranges"), n
 
 
-def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, out: str, task_rows: int = TASK_ROWS) -> DataFrame:
-    """``df`` with the sum of ``value`` over the rows of its group up to and with its own, and equals of ``order``.
+def carried(totals: DataFrame, by: list[str], aggregate, out: str) -> DataFrame:
+    """Per group and range, ``aggregate`` over the ranges before; none for the first.
 
-    Sums are made inside ranges and offset by the totals of the ranges before.
+    ``totals`` has one row per group and range. Only groups that reach over a
+    range's end come out: fewer than there are ranges.
     """
-    rows, n = in_ranges(df, by, order, task_rows)
-    inside = rows.withColumn(out, F.sum(value).over(W.partitionBy(*by, "__range").orderBy(*order)))
-    if n == 1:
-        return inside.drop("__range")
-    totals = rows.groupBy(*by, "__range").agg(F.sum(value).alias("__sum"))
-    # Only groups that reach over a range's end have an offset: fewer than there are ranges.
-    before = totals.withColumn("__before", F.sum("__sum").over(W.partitionBy(*by).orderBy("__range").rowsBetween(W.unboundedPreceding, -1))).where("__before is not null")
-    offsets, _ = bounded_broadcast(stage(before.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__range").alias("__r"), "__before"), "range-offsets"))
+    order = W.partitionBy(*by).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    return totals.withColumn(out, aggregate.over(order)).where(F.col(out).isNotNull()).select(*by, "__range", out)
+
+
+def with_carried(rows: DataFrame, before: DataFrame, by: list[str], out: str) -> DataFrame:
+    """``rows`` with what their group and range carries over, null for nothing."""
+    named = before.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__range").alias("__r"), out)
+    offsets, _ = bounded_broadcast(stage(named, "range-offsets"))
     same = F.col("__range") == F.col("__r")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
-    return inside.join(offsets, same, "left").withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0))).drop("__range", "__r", "__before", *[f"__by_{c}" for c in by])
+    return rows.join(offsets, same, "left").drop("__r", *[f"__by_{c}" for c in by])
+
+
+def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, out: str, task_rows: int = TASK_ROWS, row_by_row: bool = False) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows of its group up to its own in ``order``.
+
+    Rows equal in ``order`` have one sum, or, ``row_by_row``, one each. Sums are
+    made inside ranges and offset by the totals of the ranges before.
+    """
+    rows, n = in_ranges(df, by, order, task_rows)
+    inside = W.partitionBy(*by, "__range").orderBy(*order)
+    summed = rows.withColumn(out, F.sum(value).over(inside.rowsBetween(W.unboundedPreceding, 0) if row_by_row else inside))
+    if n == 1:
+        return summed.drop("__range")
+    before = carried(rows.groupBy(*by, "__range").agg(F.sum(value).alias("__sum")), by, F.sum("__sum"), "__before")
+    return with_carried(summed, before, by, "__before").withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0))).drop("__range", "__before")

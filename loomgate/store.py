@@ -70,6 +70,11 @@ def rename(spark: SparkSession, source: str, target: str, overwrite: bool) -> No
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(a.toUri(), conf).rename(a, b, options)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    where, store = _at(spark, path)
+    store.mkdirs(where)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where, store = _at(spark, path)
     store.delete(where, True)

@@ -14,12 +14,12 @@ from loomgate.operators import coerce, estimate, jobs, state, usage, validate
 from loomgate.operators.rekey import RangeAllocator
 from loomgate.plans import mapping, pipeline
 from loomgate.plans.hierarchy import Hierarchy
-from loomgate.plans.matching import camel, match_columns, pascal, rename, squeeze, upper_snake
+from loomgate.plans.matching import camel, inverted, match_columns, match_tables, pascal, rename, squeeze, upper_snake
 from loomgate.sources.lake import Lake, delimited_rows, upserted
 from loomgate.streaming.incremental import load_new_files
 
 
-def test_match_layers():
+def test_match_layers(spark):
     m = match_columns(
         [("ID", "int64"), ("id", "int64"), ("first_name", "string"), ("cust_nm", "string"), ("qty", "int32"), ("amuont", "double"), ("zzzz", "string")],
         [("ID", "BIGINT"), ("Id", "BIGINT"), ("FirstName", "VARCHAR"), ("CustomerName", "NVARCHAR"), ("Quantity", "INT"), ("Amount", "FLOAT"), ("Left", "INT")])
@@ -30,6 +30,29 @@ def test_match_layers():
     assert m.inverted().matched[0].strategy == "inverted_exact" and m.inverted().unmatched_source == ["Left"]
 
 
+def test_match_many_tables_at_once(spark):
+    """Tables do not mix; repeated and null names; a table without a target; pairs by either contraction."""
+    source = spark.createDataFrame([("a", 1, "dt", "date32"), ("a", 2, "dt", "int"), ("a", 3, None, "int"), ("b", 1, "Number", "int32"), ("c", 1, "x", "int")], "table_key string, at int, name string, kind string")
+    target = spark.createDataFrame([("a", 1, "Date", "DATE"), ("b", 1, "no", "INT"), ("b", 2, "x", "INT")], "table_key string, at int, name string, kind string")
+    got = {(r.table_key, r.source, r.target, r.strategy, r.confidence) for r in match_tables(source, target).collect()}
+    assert got == {("a", "dt", "Date", "abbreviation", 0.9), ("b", "Number", "no", "abbreviation", 0.9), ("b", None, "x", "unmatched", 0.0), ("c", "x", None, "unmatched", 0.0)}
+    assert {(r.source, r.target, r.strategy) for r in inverted(match_tables(source, target)).collect()} >= {("Date", "dt", "inverted_abbreviation"), ("x", None, "unmatched")}
+    assert match_tables(source.limit(0), target.limit(0)).count() == 0
+
+
+def test_auto_insert(spark):
+    df = spark.createDataFrame([(1, "x")], spark.createDataFrame([], "user_id int, note string").schema)
+    wrote, made = [], []
+    mapping.auto_insert(df, "t", None, lambda rows, name, empty: wrote.append((rows.columns, name, empty)), made.append)
+    assert wrote == [(["UserId", "Note"], "dbo.t", False)] and made == ["CREATE TABLE [dbo].[t] ([UserId] INT NULL, [Note] NVARCHAR(MAX) NULL)"]
+    mapping.auto_insert(df, "t", [("USER_ID", "INT"), ("Zeit", "DATE")], lambda rows, name, empty: wrote.append((rows.columns, name, empty)), made.append, truncate=True)
+    assert wrote[-1] == (["USER_ID"], "dbo.t", True) and len(made) == 1
+    with pytest.raises(ValueError):
+        mapping.auto_insert(df, "t", [("Zeit", "DATE")], lambda *a: wrote.append(a), made.append)
+    strict = mapping.make_entry("ns", "t", df.select(F.lit(1).alias("k"), "note"), None)
+    assert "[K] INT NOT NULL" in mapping.create_table_ddl(strict)
+
+
 def test_names():
     assert pascal("user_name") == "UserName" and pascal("ContractSID") == "Contractsid" and camel("user-name") == "userName"
     assert upper_snake("HTTPServerId") == "HTTP_SERVER_ID" and rename(["a_b"], "nope") == ["AB"] and squeeze("A_b -C") == "abc"
@@ -109,7 +132,7 @@ def test_delimited(spark):
 
 
 def test_both_directions(spark, tmp_path):
-    h, lake = Hierarchy.parse(), Lake(spark, str(tmp_path / "lake"))
+    h, lake = Hierarchy.family(), Lake(spark, str(tmp_path / "lake"))
     data = {
         "tExposureSet": spark.createDataFrame([(10, 1), (20, 1)], "ExposureSetSID bigint, CompanySID bigint"),
         "tContract": spark.createDataFrame([(1, 10), (2, 20), (3, 20)], "ContractSID bigint, ExposureSetSID bigint"),

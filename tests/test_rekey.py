@@ -7,7 +7,7 @@ from loomgate.operators.rekey import RangeAllocator, Rekeyer, mapping, speedup
 from loomgate.operators.state import Checkpoint
 from loomgate.plans.hierarchy import Hierarchy
 
-H = Hierarchy.parse()
+H = Hierarchy.family()
 
 
 def cascade(spark):
