@@ -18,16 +18,15 @@ the table passes through; columns are found without case.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import islice
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgate import store
 from loomgate.plans.hierarchy import Hierarchy, Table
 from loomgate.runtime import TASK_ROWS, bounded_broadcast, running_sum, salted_join, stage
 
@@ -37,8 +36,8 @@ class RangeAllocator:
 
     def __init__(self, first: int | Callable[[str], int] = 1_000_000, control: str | None = None):
         self.first = first if callable(first) else (lambda _: first)
-        self.control = Path(control) if control else None
-        self.next: dict[str, int] = json.loads(self.control.read_text()) if self.control and self.control.exists() else {}
+        self.control = control
+        self.next: dict[str, int] = store.get_json(control, {}) if control else {}
 
     def allocate(self, table: str, count: int) -> tuple[int, int]:
         """First id and count of a new range."""
@@ -47,9 +46,7 @@ class RangeAllocator:
         start = self.next.get(table, self.first(table))
         self.next[table] = start + count
         if self.control:
-            tmp = self.control.with_suffix(".tmp")
-            tmp.write_text(json.dumps(self.next))
-            tmp.replace(self.control)
+            store.put_json(self.control, self.next)
         return start, count
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgate import store
 from loomgate.operators.rekey import Rekeyer
 
 
@@ -15,18 +13,16 @@ class Cursors:
     """Last version read per table, saved after each."""
 
     def __init__(self, path: str):
-        self.path = Path(path)
+        self.path = path
 
     def get(self, table: str) -> int | None:
         return self._all().get(table, {}).get("last_version")
 
     def set(self, table: str, version: int | None) -> None:
-        tmp = self.path.with_name(self.path.name + ".tmp")
-        tmp.write_text(json.dumps(self._all() | {table: {"last_version": version}}, indent=1))
-        tmp.replace(self.path)
+        store.put_json(self.path, self._all() | {table: {"last_version": version}})
 
     def _all(self) -> dict:
-        return json.loads(self.path.read_text()) if self.path.exists() else {}
+        return store.get_json(self.path, {})
 
 
 class Checkpoint:
@@ -37,32 +33,26 @@ class Checkpoint:
     """
 
     def __init__(self, spark: SparkSession, root: str, job_id: str):
-        self.spark, self.base = spark, Path(root) / job_id
+        self.spark, self.base = spark, f"{root.rstrip('/')}/{job_id}"
 
     def save(self, rekeyer: Rekeyer, table: str) -> None:
         m = rekeyer.mappings.get(table)
-        if m is not None and not (self.base / table / "_SUCCESS").exists():
-            m.write.mode("overwrite").parquet(str(self.base / table))
-        done = sorted({*self.completed(), table})
-        self.base.mkdir(parents=True, exist_ok=True)
-        tmp = self.base / "_done.tmp"
-        tmp.write_text(json.dumps(done))
-        tmp.replace(self.base / "_done.json")
+        if m is not None and not store.exists(self.spark, f"{self.base}/{table}/_SUCCESS"):
+            m.write.mode("overwrite").parquet(f"{self.base}/{table}")
+        store.put_json(f"{self.base}/_done.json", sorted({*self.completed(), table}))
 
     def completed(self) -> list[str]:
-        f = self.base / "_done.json"
-        return json.loads(f.read_text()) if f.exists() else []
+        return store.get_json(f"{self.base}/_done.json", [])
 
     def restore(self, rekeyer: Rekeyer) -> list[str]:
         """Load stored mappings into a new rekeyer; return finished tables."""
-        for p in self.base.glob("*/_SUCCESS"):
-            rekeyer.mappings[p.parent.name] = self.spark.read.parquet(str(p.parent))
+        for name in store.names(self.spark, self.base):
+            if store.exists(self.spark, f"{self.base}/{name}/_SUCCESS"):
+                rekeyer.mappings[name] = self.spark.read.parquet(f"{self.base}/{name}")
         return self.completed()
 
     def delete(self) -> None:
-        import shutil
-
-        shutil.rmtree(self.base, ignore_errors=True)
+        store.delete(self.spark, self.base)
 
 
 def audit_records(mapping: DataFrame, table: str, column: str, job_id: str, tenant_id: str, at: str) -> DataFrame:
@@ -97,5 +87,5 @@ def level_metrics(results: DataFrame) -> DataFrame:
 def write_progress(path: str, done: int, total: int, **more) -> dict:
     """Progress from 20 to 70 per cent by tables done; the last write holds."""
     doc = {"percent": 20 + 50 * done // max(1, total), "tables_done": done, "tables_total": total, **more}
-    Path(path).write_text(json.dumps(doc))
+    store.put_json(path, doc)
     return doc

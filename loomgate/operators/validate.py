@@ -68,14 +68,14 @@ def file_checksums(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import unquote
+        from urllib.parse import quote
 
         from pyarrow import fs
 
         for batch in batches:
             out = []
             for path, length in zip(batch["path"], batch["length"]):
-                store, at = fs.FileSystem.from_uri(unquote(path))
+                store, at = fs.FileSystem.from_uri(quote(path, safe="/:"))
                 digest = hashlib.sha256()
                 with store.open_input_stream(at) as f:
                     while chunk := f.read(8 << 20):

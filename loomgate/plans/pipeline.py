@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomgate import store
 from loomgate.operators.filters import entity_filter, reachable_filter, select_names
 from loomgate.operators.rekey import RangeAllocator, Rekeyer
 from loomgate.operators.state import Checkpoint
-from loomgate.operators.validate import Report, file_checksums, validate
+from loomgate.operators.validate import Report, checksum_mismatches, file_checksums, validate
 from loomgate.plans.hierarchy import Hierarchy
 from loomgate.plans.mapping import project
 from loomgate.plans.matching import rename
@@ -78,13 +78,30 @@ def extract(lake: Lake, namespace: str, out: str, ids: list[int], wanted: str |
     return result
 
 
+class DamagedBackup(RuntimeError):
+    """Files of a backup are missing, or not what its manifest says."""
+
+
+def verify_backup(spark: SparkSession, folder: str) -> None:
+    """Check the files against the manifest, where the folder has one; extra files are not its business."""
+    if not store.exists(spark, f"{folder}/_manifest"):
+        return
+    name = F.regexp_extract("path", r"([^/]+/[^/]+)$", 1)
+    listed = spark.read.schema("path string, length bigint, sha256 string").json(f"{folder}/_manifest").withColumn("path", name)
+    wrong = checksum_mismatches(file_checksums(spark, folder).withColumn("path", name), listed)
+    bad = [r["path"] for r in wrong.select("path").limit(5).collect()]  # a few for the message
+    if bad:
+        raise DamagedBackup(f"{folder}: {', '.join(bad)}")
+
+
 def ingest(spark: SparkSession, folder: str, lake: Lake, namespace: str, hierarchy: Hierarchy, allocator: RangeAllocator, overrides: dict[str, int] | None = None, mode: str = "append", convention: str = "as_is", checkpoint: Checkpoint | None = None, create_missing: bool = False) -> Outcome:
     """Re-key a folder of tables and write them to the lake, parents first.
 
     A missing destination is skipped before any id is taken for it, or created.
     """
     result = Outcome()
-    frames = {p.name: spark.read.parquet(str(p)) for p in sorted(Path(folder).iterdir()) if p.is_dir() and not p.name.startswith("_")}
+    verify_backup(spark, folder)
+    frames = {n: spark.read.parquet(f"{folder}/{n}") for n in store.names(spark, folder) if not n.startswith((".", "_")) and store.is_folder(spark, f"{folder}/{n}")}
     for name in list(frames):
         if not lake.exists(f"{namespace}.{name}"):
             if create_missing:
@@ -116,4 +133,4 @@ def ingest(spark: SparkSession, folder: str, lake: Lake, namespace: str, hierarc
 
 
 def write_summary(path: str, outcome: Outcome) -> None:
-    Path(path).write_text(json.dumps(outcome.summary(), indent=1))
+    store.put_json(path, outcome.summary())

@@ -13,7 +13,6 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Iterator
-from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -190,7 +189,7 @@ def footer_stats(df: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for path in batch["path"]:
-                files, at = fs.FileSystem.from_uri(unquote(path))
+                files, at = fs.FileSystem.from_uri(path)  # as Spark lists them: encoded
                 with files.open_input_file(at) as f:
                     out.append((path, f.size(), pq.ParquetFile(f).metadata.num_rows))
             yield pd.DataFrame(out, columns=["path", "bytes", "rows"])

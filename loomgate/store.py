@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import SparkSession
@@ -9,7 +10,9 @@ from pyspark.sql import SparkSession
 
 def _at(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Local files may be edited by hand: they are kept without checksum files.
+    return where, store.getRawFileSystem() if store.getUri().getScheme() == "file" else store
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -17,6 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where, store = _at(spark, path)
+    return store.exists(where) and store.getFileStatus(where).isDirectory()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Text of a small file; null where there is none."""
     where, store = _at(spark, path)
@@ -90,3 +98,14 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path; 0 for none."""
     where, store = _at(spark, path)
     return store.getContentSummary(where).getLength() if store.exists(where) else 0
+
+
+def get_json(path: str, default: object = None) -> object:
+    """Content of a JSON file, by the active session; ``default`` where there is none."""
+    text = read_text(SparkSession.active(), path)
+    return default if text is None else json.loads(text)
+
+
+def put_json(path: str, value: object) -> None:
+    """Replace a JSON file in one step."""
+    replace_text(SparkSession.active(), path, json.dumps(value, indent=1))
