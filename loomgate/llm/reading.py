@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgate.llm import mail
-from loomgate.runtime import running_sum, stage
+from loomgate.runtime import bounded_broadcast, running_sum, stage
 
 SHARES, HEAD = (0.3, 0.65, 0.9), 50_000
 #: Weight of the ridge, in ratings: it holds a fit on few of them near their mean.
@@ -151,13 +151,20 @@ def calibrate(feats: DataFrame, ratings: DataFrame) -> list[float]:
     return [float(mean[-1] - w @ mean[:-1]), *map(float, w)]
 
 
+def once_each(own: DataFrame) -> DataFrame:
+    """Without repeated rows: only marks are shuffled, and the rows that share one."""
+    marked = own.withColumn("mark", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("lang").isNull(), "lang", "words", "times", "n_sentences"))
+    shared, _ = bounded_broadcast(stage(marked.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"), "reading-shared"))
+    repeated = marked.join(shared, "mark", "left_semi").dropDuplicates(["doc_id", "lang", "mark"])
+    return marked.join(shared, "mark", "left_anti").unionByName(repeated).drop("mark")
+
+
 def grades(documents: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str | None = None) -> DataFrame:
     """(doc_id, lang, grade 1…5, ranks, sentence_words) per document; null grade without own words.
 
     Without ``lang`` all documents are ranked in one vocabulary.
     """
-    own = own_words(documents, doc_id, text, lang).withColumn("mark", F.xxhash64("words", "times", "n_sentences")).dropDuplicates(["doc_id", "lang", "mark"]).drop("mark")
-    own = stage(own, "reading-own")
+    own = once_each(stage(own_words(documents, doc_id, text, lang), "reading-own"))
     own = stage(with_language(own), "reading-language") if lang else own
     feats = stage(features(own), "reading-features")
     weights = calibrate(feats, ratings)
